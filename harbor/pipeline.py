@@ -1,0 +1,41 @@
+"""From raw lines to message tables."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import DataFrame
+
+from harbor.operators.ingest import (
+    DEFAULT_RULES,
+    IngestRules,
+    message_parts,
+    read_sentences,
+    unpack,
+    whole_messages,
+)
+from harbor.operators.reassemble import as_messages, assemble, check_mode
+
+
+def messages_from_lines(
+    lines: DataFrame,
+    mode: str = "gap",
+    rules: IngestRules = DEFAULT_RULES,
+    keep_bits: bool = True,
+) -> DataFrame:
+    """Raw lines (column ``value``) to the message table.
+
+    Most lines are messages by themselves.  They are told apart on the raw
+    text, go through without a shuffle, and only fragments are exchanged; each
+    line's checksum is computed on one of the two branches.  With
+    ``rules.lone_parts`` off every sentence takes part in the ``gap`` numbering.
+    """
+    check_mode(mode)
+    if mode == "gap" and not rules.lone_parts:
+        return unpack(assemble(read_sentences(lines, rules), mode), keep_bits)
+    any_number = mode == "sequence"
+    if any_number:
+        rules = replace(rules, lone_parts=False)
+    whole = as_messages(whole_messages(lines, rules, any_number), mode)
+    parts = assemble(message_parts(lines, rules, any_number), mode)
+    return unpack(whole.unionByName(parts), keep_bits)
