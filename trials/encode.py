@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harbor.functions.checksum import xor_checksum
@@ -49,16 +49,24 @@ def armour(all_bits: Column, n_bits: int) -> Column:
     return F.substring(F.translate(packed, BASE64, PAYLOAD_ALPHABET), 1, n_chars)
 
 
-def payload(fields: Sequence[tuple[Column | int, int]]) -> Column:
-    """Payload of ``(value, width)`` fields; a text field is given as its bits."""
-    return armour(
-        F.concat(*[v if w < 0 else bits(v, w) for v, w in fields]),
-        sum(abs(w) for _, w in fields),
+def with_payload(
+    rows: DataFrame, name: str, fields: Sequence[tuple[Column | int, int]]
+) -> DataFrame:
+    """Append the payload of ``(value, width)`` fields as column ``name``.
+
+    A text field is given as its bits, see ``text_field``.
+    """
+    n_bits = sum(abs(width) for _, width in fields)
+    all_bits = F.concat(*[v if w < 0 else bits(v, w) for v, w in fields])
+    return (
+        rows.withColumn("__bits", all_bits)
+        .withColumn(name, armour(F.col("__bits"), n_bits))
+        .drop("__bits")
     )
 
 
 def text_field(text: Column, n_chars: int) -> tuple[Column, int]:
-    """A text field for ``payload``; the negative width marks ready-made bits."""
+    """A text field for ``with_payload``; the negative width marks ready-made bits."""
     return text_bits(text, n_chars), -n_chars * BITS_PER_CHAR
 
 
@@ -100,5 +108,16 @@ def summed(text: Column) -> Column:
     return F.concat(text, F.lit("*"), xor_checksum(text))
 
 
-def line(tags: Column, body: Column) -> Column:
-    return F.concat(F.lit("\\"), summed(tags), F.lit("\\!"), summed(body))
+def with_line(rows: DataFrame, tags: Column, body: Column) -> DataFrame:
+    """Append the receiver line as ``value``."""
+    return (
+        rows.withColumn("__tags", tags)
+        .withColumn("__body", body)
+        .withColumn(
+            "value",
+            F.concat(
+                F.lit("\\"), summed(F.col("__tags")), F.lit("\\!"), summed(F.col("__body"))
+            ),
+        )
+        .drop("__tags", "__body")
+    )

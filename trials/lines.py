@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from harbor.sources.lines import read_lines
 
 from trials import fields as D
-from trials.encode import line, payload, sentence, tag_block, text_field
+from trials.encode import sentence, tag_block, text_field, with_line, with_payload
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,13 +45,11 @@ def _expr(text: str) -> Column:
     return F.expr(text.replace("//", "div"))
 
 
-def _packed(layout) -> Column:
-    return payload(
-        [
-            text_field(F.col(name), -width) if width < 0 else (F.col(name), width)
-            for name, _, width in layout
-        ]
-    )
+def _fields(layout) -> list[tuple[Column, int]]:
+    return [
+        text_field(F.col(name), -width) if width < 0 else (F.col(name), width)
+        for name, _, width in layout
+    ]
 
 
 def _with_fields(rows: DataFrame, layout) -> DataFrame:
@@ -64,13 +62,10 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events").withColumn("epoch", epoch_of("ts")),
         D.EVENT_POSITION,
     )
-    return (
-        rows.withColumn("data", _packed(D.EVENT_POSITION))
-        .withColumn(
-            "tags", tag_block(_expr(D.EVENT_PORT), _expr(D.EVENT_STATION), F.col("epoch"))
-        )
-        .withColumn("value", line(F.col("tags"), sentence(F.col("data"))))
+    rows = with_payload(rows, "data", _fields(D.EVENT_POSITION)).withColumn(
+        "tags", tag_block(_expr(D.EVENT_PORT), _expr(D.EVENT_STATION), F.col("epoch"))
     )
+    return with_line(rows, F.col("tags"), sentence(F.col("data")))
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,9 +77,7 @@ def spoilt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = events(spark, sf_dir).withColumn(
-        "value", line(F.col("tags"), _expr(D.FAULTY_BODY))
-    )
+    rows = with_line(events(spark, sf_dir), F.col("tags"), _expr(D.FAULTY_BODY))
     return stored(rows.select(_expr(D.FAULTY_LINE).alias("value")))
 
 
@@ -92,17 +85,16 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _with_fields(table(spark, sf_dir, "orders"), D.ORDER_POSITION)
     epoch = epoch_of("o_orderdate") + F.col("o_orderkey") % 86400
     tags = tag_block(_expr(D.ORDER_PORT), _expr(D.ORDER_STATION), epoch)
-    body = sentence(_packed(D.ORDER_POSITION))
-    return stored(rows.select(line(tags, body).alias("value")))
+    rows = with_payload(rows, "data", _fields(D.ORDER_POSITION))
+    return stored(with_line(rows, tags, sentence(F.col("data"))))
 
 
 def part_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _with_fields(table(spark, sf_dir, "part"), D.PART_VOYAGE)
-    data = F.substr(
-        F.rpad(_packed(D.PART_VOYAGE), 72, "0"), F.lit(1), _expr(D.PART_CHARS)
-    )
+    rows = with_payload(rows, "data", _fields(D.PART_VOYAGE))
+    data = F.substr(F.rpad("data", 72, "0"), F.lit(1), _expr(D.PART_CHARS))
     tags = tag_block(_expr(D.PART_PORT), _expr(D.PART_STATION), _expr(D.PART_EPOCH))
-    return stored(rows.select(line(tags, sentence(data)).alias("value")))
+    return stored(with_line(rows, tags, sentence(data)))
 
 
 def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,9 +102,8 @@ def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     suppliers = table(spark, sf_dir, "supplier").join(
         table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
-    rows = _with_fields(suppliers, D.SUPPLIER_VOYAGE).withColumn(
-        "data", _packed(D.SUPPLIER_VOYAGE)
-    )
+    rows = _with_fields(suppliers, D.SUPPLIER_VOYAGE)
+    rows = with_payload(rows, "data", _fields(D.SUPPLIER_VOYAGE))
     tags = tag_block(
         _expr(D.SUPPLIER_PORT), _expr(D.SUPPLIER_STATION), _expr(D.SUPPLIER_EPOCH)
     )
@@ -141,7 +132,7 @@ def supplier_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("sequence"),
         padding=F.col("part.padding"),
     )
-    return stored(parts.select(line(F.col("tags"), body).alias("value")))
+    return stored(with_line(parts, F.col("tags"), body))
 
 
 def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,34 +145,23 @@ def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _expr(D.CUSTOMER_EPOCH).alias("epoch"),
     )
     head = [(F.lit(24), 6), (F.col("c_custkey") % 4, 2), (F.col("mmsi_raw"), 30)]
-
-    def named(name: Column) -> Column:
-        return payload([*head, (F.lit(0), 2), text_field(name, 20), (F.lit(0), 8)])
-
-    detail = payload(
-        [
-            *head,
-            (F.lit(1), 2),
-            *[
-                text_field(F.col(n), -w) if w < 0 else (F.col(n), w)
-                for n, _, w in D.CUSTOMER_DETAIL
-            ],
-        ]
-    )
+    name, other = F.col("name_text"), F.concat(F.lit("X"), F.col("name_text"))
+    number_0, number_1, spare = (F.lit(0), 2), (F.lit(1), 2), (F.lit(0), 8)
+    rows = with_payload(rows, "name", [*head, number_0, text_field(name, 20), spare])
+    rows = with_payload(rows, "other", [*head, number_0, text_field(other, 20), spare])
+    rows = with_payload(rows, "detail", [*head, number_1, *_fields(D.CUSTOMER_DETAIL)])
     variant, epoch = F.col("variant"), F.col("epoch")
-    name = named(F.col("name_text"))
-    other = named(F.concat(F.lit("X"), F.col("name_text")))
     parts = F.filter(
         F.array(
-            F.struct(detail.alias("data"), epoch.alias("epoch")),
+            F.struct(F.col("detail").alias("data"), epoch.alias("epoch")),
             F.struct(
                 F.when(variant == 3, None)
-                .when(variant == 2, F.substring(name, 1, 27))
-                .otherwise(name)
+                .when(variant == 2, F.substring("name", 1, 27))
+                .otherwise(F.col("name"))
                 .alias("data"),
                 F.when(variant == 1, epoch + 1000000).otherwise(epoch).alias("epoch"),
             ),
-            F.struct(F.when(variant == 4, other).alias("data"), epoch.alias("epoch")),
+            F.struct(F.when(variant == 4, F.col("other")).alias("data"), epoch.alias("epoch")),
         ),
         lambda p: p["data"].isNotNull(),
     )
@@ -195,7 +175,7 @@ def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("part.epoch").cast("string")
     )
     tags = tag_block(F.col("port"), F.col("station"), told)
-    return stored(exploded.select(line(tags, sentence(F.col("part.data"))).alias("value")))
+    return stored(with_line(exploded, tags, sentence(F.col("part.data"))))
 
 
 def fragment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +191,7 @@ def fragment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("radio_channel"),
         F.col("padding"),
     )
-    return stored(rows.select(line(tags, body).alias("value")))
+    return stored(with_line(rows, tags, body))
 
 
 def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
