@@ -77,9 +77,14 @@ def parse_int(text: Column) -> Column:
     return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int"))
 
 
-def parse_epoch(text: Column) -> Column:
-    """Epoch seconds to a timestamp, null when unreadable or out of int range."""
-    return F.timestamp_seconds(F.when(text.rlike("^[0-9]+$"), text.try_cast("int")))
+def parse_digits(digits: Column) -> Column:
+    """Int from text known to hold digits only; null when empty or out of range."""
+    return F.when(digits != "", digits.try_cast("int"))
+
+
+def parse_epoch(digits: Column) -> Column:
+    """Epoch seconds to a timestamp, null when absent or out of int range."""
+    return F.timestamp_seconds(parse_digits(digits))
 
 
 def _field(line: Column, index: int) -> Column:
@@ -113,18 +118,23 @@ def parse_sentences(lines: DataFrame, column: str = "value", *keep: str) -> Data
         parse_int(digits).alias("padding"),
         F.get(tail, F.lit(1)).alias("checksum_packet"),
         F.regexp_extract(meta, META_STATION, 1).alias("s"),
-        parse_int(F.regexp_extract(meta, META_PORT, 1)).alias("port"),
-        parse_int(F.regexp_extract(meta, META_MMSI, 1)).alias("port_mmsi"),
+        parse_digits(F.regexp_extract(meta, META_PORT, 1)).alias("port"),
+        parse_digits(F.regexp_extract(meta, META_MMSI, 1)).alias("port_mmsi"),
         parse_epoch(F.regexp_extract(meta, META_TIME, 1)).alias("timestamp"),
         F.regexp_extract(meta, META_CHECKSUM, 1).alias("checksum_meta"),
     )
 
 
-def _shape(rules: IngestRules, payload: str, count: str, number: str) -> str:
-    """Pattern of a line with all fields, the payload in the alphabet."""
-    other = "[^,!]*"
-    fields = ",".join([other, count, number, other, other, payload])
-    return f"^[^!]*!{fields},{other}?\\*+[^,!*]"
+# A field that reads as 1, and one that reads as some int.
+_ONE = "[+]?0*1"
+_INT = "[+-]?[0-9]+"
+_ANY = "[^,!]*"
+
+
+def _shape(payload: str, count: str, number: str) -> str:
+    """Pattern of a line with all its fields, the payload in the alphabet."""
+    fields = ",".join([_ANY, count, number, _ANY, _ANY, payload])
+    return f"^[^!]*!{fields},{_ANY}?\\*+[^,!*]"
 
 
 def is_whole_message(
@@ -136,42 +146,38 @@ def is_whole_message(
     past reassembly before anything is parsed.  With ``any_number`` the part
     may be numbered otherwise.
     """
-    one = "[+]?0*1"
-    number = "[+-]?0*[0-9]{1,9}" if any_number else one
-    return line.rlike(_shape(rules, f"{rules.alphabet}+", one, number))
-
+    number = "[+-]?0*[0-9]{1,9}" if any_number else _ONE
+    return line.rlike(_shape(f"{rules.alphabet}+", _ONE, number))
 
-def _numbers_ok(line: Column, rules: IngestRules) -> Column:
-    number = parse_int(_field(line, 2))
-    ok = number.isNotNull()
-    if rules.lone_parts:
-        lone = F.coalesce(parse_int(_field(line, 1)) == 1, F.lit(False))
-        ok = ok & (~lone | (number == 1))
-    return ok
 
+def is_message_part(line: Column, rules: IngestRules = DEFAULT_RULES) -> Column:
+    """True for the other usable lines, by the raw text alone.
 
-def _is_empty_message(line: Column) -> Column:
-    lone = F.coalesce(parse_int(_field(line, 1)) == 1, F.lit(False))
-    return lone & (F.coalesce(_field(line, 5), F.lit("")) == "")
+    Their count is not 1, or they break ``lone_parts`` where that is allowed;
+    a part may be empty as long as it is not a message by itself.
+    """
+    part = line.rlike(_shape(f"{rules.alphabet}*", f"(?!{_ONE},){_ANY}", _INT))
+    if rules.lone_parts:
+        return part
+    return part | line.rlike(_shape(f"{rules.alphabet}+", _ONE, _INT))
 
 
 def sums_hold(line: Column, rules: IngestRules) -> Column:
     return line_holds(line, rules.require_meta) if rules.check_sums else F.lit(True)
 
 
-def is_accepted(line: Column, rules: IngestRules = DEFAULT_RULES) -> Column:
-    """True when the line becomes a sentence record.  Cheap tests come first."""
-    return (is_whole_message(line, rules) | _is_usable(line, rules)) & sums_hold(
-        line, rules
-    )
+def _accepted(lines: DataFrame, fitting: Column, rules: IngestRules) -> DataFrame:
+    """Sentence records of the lines that fit and whose sums hold.
 
+    The pattern is tested in the JVM first, on the scan; only lines that fit
+    it are summed.
+    """
+    return parse_sentences(lines.where(fitting).where(sums_hold(F.col("value"), rules)))
 
-def _is_usable(line: Column, rules: IngestRules) -> Column:
-    return (
-        line.rlike(_shape(rules, f"{rules.alphabet}*", "[^,!]*", "[^,!]*"))
-        & _numbers_ok(line, rules)
-        & ~_is_empty_message(line)
-    )
+
+def _numbered(sentences: DataFrame) -> DataFrame:
+    # A fragment number may have more digits than an int holds.
+    return sentences.where(F.col("fragment_n").isNotNull())
 
 
 def whole_messages(
@@ -179,9 +185,7 @@ def whole_messages(
 ) -> DataFrame:
     """Sentence records of the accepted lines that are messages by themselves."""
     line = F.col("value")
-    return parse_sentences(
-        lines.where(is_whole_message(line, rules, any_number) & sums_hold(line, rules))
-    )
+    return _accepted(lines, is_whole_message(line, rules, any_number), rules)
 
 
 def message_parts(
@@ -189,13 +193,29 @@ def message_parts(
 ) -> DataFrame:
     """Sentence records of the other accepted lines."""
     line = F.col("value")
-    return parse_sentences(
-        lines.where(
-            ~is_whole_message(line, rules, any_number)
-            & _is_usable(line, rules)
-            & sums_hold(line, rules)
-        )
-    )
+    whole = is_whole_message(line, rules, any_number)
+    return _numbered(_accepted(lines, ~whole & is_message_part(line, rules), rules))
+
+
+def read_sentences(lines: DataFrame, rules: IngestRules = DEFAULT_RULES) -> DataFrame:
+    """Sentence records of all accepted lines."""
+    line = F.col("value")
+    fitting = is_whole_message(line, rules) | is_message_part(line, rules)
+    return _numbered(_accepted(lines, fitting, rules))
+
+
+def _numbers_ok(line: Column, rules: IngestRules) -> Column:
+    number = parse_int(_field(line, 2))
+    ok = number.isNotNull()
+    if rules.lone_parts:
+        lone = F.coalesce(parse_int(_field(line, 1)) == 1, F.lit(False))
+        ok = ok & (~lone | (number == 1))
+    return ok
+
+
+def _is_empty_message(line: Column) -> Column:
+    lone = F.coalesce(parse_int(_field(line, 1)) == 1, F.lit(False))
+    return lone & (F.coalesce(_field(line, 5), F.lit("")) == "")
 
 
 def outcome(line: Column, rules: IngestRules = DEFAULT_RULES) -> Column:
@@ -214,11 +234,6 @@ def outcome(line: Column, rules: IngestRules = DEFAULT_RULES) -> Column:
     )
 
 
-def read_sentences(lines: DataFrame, rules: IngestRules = DEFAULT_RULES) -> DataFrame:
-    """Accepted lines as sentence records."""
-    return parse_sentences(lines.where(is_accepted(F.col("value"), rules)))
-
-
 def checksum_filter(lines: DataFrame, require_meta: bool = True) -> DataFrame:
     """Lines all of whose segments carry their own checksum."""
     return lines.where(line_holds(F.col("value"), require_meta))
