@@ -64,7 +64,8 @@ def bits_of(payload: Column) -> Column:
     Works on ten characters at a time and on payloads of any length.
     """
     double_word = 2 * WORD_CHARS
-    n_words = 2 * F.ceil(F.length(payload) / double_word).cast("int")
+    n_pairs = F.greatest(F.ceil(F.length(payload) / double_word).cast("int"), F.lit(1))
+    n_words = 2 * n_pairs
     digits = packed_hex(payload, n_words * WORD_CHARS)
     return F.get(
         F.transform(
