@@ -45,8 +45,8 @@ PAYLOAD_STRICT = "[0-W`-w]"
 TEXT_ALPHABET = "".join(chr(v + 64 if v < 32 else v) for v in range(64))
 
 
-def packed_hex(payload: Column, n_chars: Column | int) -> Column:
-    """Hex digits of the payload's bits, right-padded with zero bits to ``n_chars``.
+def packed_hex(payload: Column, n_chars: int) -> Column:
+    """Hex digits of the first ``n_chars`` characters' bits, zero bits filled in.
 
     ``n_chars`` must be a multiple of four, so that the bits fill whole bytes.
     """
@@ -59,31 +59,13 @@ def _hex_to_long(digits: Column) -> Column:
 
 
 def bits_of(payload: Column) -> Column:
-    """Payload characters to a string of ``0`` and ``1``, six per character.
-
-    Works on ten characters at a time and on payloads of any length.
-    """
-    double_word = 2 * WORD_CHARS
-    n_pairs = F.greatest(F.ceil(F.length(payload) / double_word).cast("int"), F.lit(1))
-    n_words = 2 * n_pairs
-    digits = packed_hex(payload, n_words * WORD_CHARS)
-    return F.get(
-        F.transform(
-            F.array(digits),
-            lambda packed: F.array_join(
-                F.transform(
-                    F.sequence(F.lit(0), F.length(packed) - WORD_HEX, F.lit(WORD_HEX)),
-                    lambda at: F.lpad(
-                        F.bin(_hex_to_long(F.substring(packed, at + 1, WORD_HEX))),
-                        WORD_BITS,
-                        "0",
-                    ),
-                ),
-                "",
-            ),
-        ),
-        F.lit(0),
-    ).substr(F.lit(1), F.length(payload) * BITS_PER_CHAR)
+    """Payload characters to a string of ``0`` and ``1``, six per character."""
+    by_code = F.array(*[F.lit(format(_sextet_of(ord(c)), "06b")) for c in PAYLOAD_CHARS])
+    first = ord(PAYLOAD_CHARS[0])
+    return F.array_join(
+        F.transform(F.split(payload, ""), lambda char: F.get(by_code, F.ascii(char) - first)),
+        "",
+    )
 
 
 def sextet(payload: Column, index: int) -> Column:
