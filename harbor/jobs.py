@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from harbor.operators import decode, ingest, static_reports
 from harbor.operators.ingest import IngestRules
-from harbor.pipeline import messages_from_lines
+from harbor.messages import messages_from_lines
 from harbor.sources.lines import read_lines
 from harbor.sources.tables import read_messages, write_messages, write_table
 

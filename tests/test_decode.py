@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from harbor.functions.readings import NAVIGATION_STATUS
 from harbor.operators import decode as D
 from harbor.operators import static_reports as S
-from harbor.pipeline import messages_from_lines
+from harbor.messages import messages_from_lines
 from tests.synth import PASSES, frame, line, number_bits, payload, text_bits
 
 

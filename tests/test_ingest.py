@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from harbor.operators import ingest as I
 from harbor.operators.ingest import IngestRules
-from harbor.pipeline import messages_from_lines
+from harbor.messages import messages_from_lines
 from tests.synth import KNOWN_LINES, PASSES, frame, line, xor
 
 

@@ -8,7 +8,7 @@ import pytest
 
 from harbor.operators import reassemble as R
 from harbor.operators.ingest import IngestRules, read_sentences
-from harbor.pipeline import messages_from_lines
+from harbor.messages import messages_from_lines
 from tests.synth import frame, line
 
 SCHEMA = (

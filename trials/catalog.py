@@ -11,7 +11,7 @@ from harbor.functions import bitstring as B
 from harbor.functions.readings import navigation_status
 from harbor.operators import conform, decode, ingest, reassemble, static_reports
 from harbor.operators.ingest import IngestRules
-from harbor.pipeline import messages_from_lines
+from harbor.messages import messages_from_lines
 from harbor.sources.checked_csv import read_checked, write_by_family
 from harbor.sources.tables import read_messages, read_table, write_messages, write_table
 from trials import fields as D
@@ -119,7 +119,7 @@ def reassemble_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_epoch(reassemble.reassemble(L.fragments(spark, sf_dir), mode="sequence"))
 
 
-def raw_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = L.spoilt_lines(spark, sf_dir).union(L.fragment_lines(spark, sf_dir))
     return with_epoch(messages_from_lines(lines, keep_bits=False))
 
@@ -404,7 +404,7 @@ QUERIES: dict[str, Query] = {
         parse_sentence,
         reassemble_gap,
         reassemble_sequence,
-        raw_pipeline,
+        raw_messages,
         unpack_bits,
         message_type_counts,
         drop_working,

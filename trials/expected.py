@@ -423,7 +423,7 @@ g AS (
   GROUP BY packet_type, fragment_count, message_id, radio_channel, s, port, port_mmsi, epoch
 )
 SELECT {MESSAGE_KEYS}, data, is_complete FROM g""",
-    "raw_pipeline": f"""WITH {EVENTS_PACKED}, {GAP}
+    "raw_messages": f"""WITH {EVENTS_PACKED}, {GAP}
 SELECT 'AIVDM' AS packet_type, 1::INTEGER AS fragment_count, 'A' AS radio_channel,
   0::INTEGER AS padding, 'ASM' AS s, ({D.EVENT_PORT})::INTEGER AS port,
   ({D.EVENT_STATION})::INTEGER AS port_mmsi, epoch::BIGINT AS epoch, data,
