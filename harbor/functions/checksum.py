@@ -1,8 +1,8 @@
 """XOR checksums of the segments of a received line.
 
 ``xor_checksum`` is a plain column expression.  It meets characters one at a
-time, which over whole lines costs more than all the rest of ingest, and Spark
-has no function that sums bytes faster.  ``line_holds`` therefore sums whole
+time, which over whole lines costs more than all the rest of ingest (README and
+RESULTS give the figures).  ``line_holds`` therefore sums whole
 Arrow batches with numpy: one running XOR over the batch's bytes gives the sum
 of every text in it as the XOR of two of its entries.
 """
