@@ -2,6 +2,45 @@
 
 from __future__ import annotations
 
+_QUALITY = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+      lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), windows AS (
+  SELECT doc_id, pos, array_to_string(words[pos:pos + 7], ' ') AS said
+  FROM split, unnest(range(1, len(words) - 6)) AS t(pos)
+), repeated AS (
+  SELECT doc_id, pos FROM windows
+  QUALIFY count(*) OVER (PARTITION BY doc_id, said) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT pos + step) AS n
+  FROM repeated, unnest(range(0, 8)) AS t(step) GROUP BY doc_id
+), measured AS (
+  SELECT doc_id, text, words,
+    len(words) AS n_words,
+    coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+    len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(n, 0) AS n_repeat_words
+  FROM split LEFT JOIN covered USING (doc_id)
+), judged AS (
+  SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM measured
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed
+    OR 10 * n_symbols > n_words
+    OR 4 * len(regexp_extract_all(text, '!')) > n_words
+    OR len(regexp_extract_all(text, '[A-Z]')) > len(regexp_extract_all(text, '[a-z]'))
+    OR 5 * len(list_filter(range(2, len(words) + 1), lambda i: words[i] = words[i - 1])) > n_words
+    OR word_chars < 2 * n_words OR word_chars > 14 * n_words
+    OR 3 * n_dup_lines > n_lines) AS kept
+FROM judged
+"""
+
 _TURNS = r"""
 WITH rows AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -55,6 +94,7 @@ FROM ruled LEFT JOIN listed USING (name)
 """
 
 SQL: dict[str, str] = {
+    "op3_quality_rules": _QUALITY,
     "op7_chat_format": _TURNS,
     "op9_url_filter": _URLS,
 }

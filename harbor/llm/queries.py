@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harbor.llm import chat, urls
+from harbor.llm import chat, near_dedup, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
 # A user's turn and an assistant's that hold the template's own marks.
 MARKED_TEXT = "\\### Assistant: </turn> ok"
 
@@ -60,7 +64,14 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(pages, URL_RULES, listed)
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", near_dedup.as_hex().alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
+    "op3_quality_rules": op3_quality_rules,
     "op7_chat_format": op7_chat_format,
     "op9_url_filter": op9_url_filter,
+    "op10_near_dedup": op10_near_dedup,
 }

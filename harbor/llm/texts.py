@@ -106,12 +106,12 @@ class Texts:
         cuts = np.flatnonzero(self.data == 10)
         start = np.union1d(cuts + 1, self.offsets[:-1])
         start = start[start < len(self.data)]
-        limit = np.union1d(cuts, self.offsets[1:])
-        end = limit[np.searchsorted(limit, start)] if len(start) else start
+        text_of = np.searchsorted(self.offsets, start, side="right") - 1
+        cut = np.append(cuts, len(self.data))[np.searchsorted(cuts, start)]
+        end = np.minimum(cut, self.offsets[text_of + 1])
         solid = np.concatenate([[0], np.cumsum(~SPACE[self.data])])
         held = solid[end] > solid[start]
-        start, end = start[held], end[held]
-        return start, end, np.searchsorted(self.offsets, start, side="right") - 1
+        return start[held], end[held], text_of[held]
 
 
 @dataclass
