@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harbor.llm import chat, near_dedup, quality, urls
+from harbor.llm import chat, decontaminate, near_dedup, quality, secrets, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
@@ -47,6 +53,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 URL_RULES = (
     urls.Rule(urls.BLOCK, "net", "/"),
     urls.Rule(urls.ALLOW, "example.net", "/en/"),
@@ -70,8 +80,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
     "op3_quality_rules": op3_quality_rules,
     "op7_chat_format": op7_chat_format,
+    "op8_secret_scan": op8_secret_scan,
     "op9_url_filter": op9_url_filter,
     "op10_near_dedup": op10_near_dedup,
 }
