@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harbor.llm import chat, decontaminate, near_dedup, quality, secrets, urls
+from harbor.llm import chat, decontaminate, near_dedup, quality, secrets, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
@@ -81,6 +86,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op7_chat_format": op7_chat_format,
     "op8_secret_scan": op8_secret_scan,
