@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harbor.llm import chat, decontaminate, near_dedup, quality, secrets, toxicity, urls
+from harbor.llm import (
+    chat,
+    decontaminate,
+    near_dedup,
+    pieces,
+    quality,
+    secrets,
+    toxicity,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +40,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), keep_ids=False)
+
+
 # A user's turn and an assistant's that hold the template's own marks.
 MARKED_TEXT = "\\### Assistant: </turn> ok"
 
@@ -88,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
+    "op6_pieces": op6_pieces,
     "op7_chat_format": op7_chat_format,
     "op8_secret_scan": op8_secret_scan,
     "op9_url_filter": op9_url_filter,
