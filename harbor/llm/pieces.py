@@ -454,7 +454,11 @@ def encode(
                 "decoded": pa.array(same, pa.bool_()),
             }
             if keep_ids:
-                columns["ids"] = pa.array([ids for ids, _ in rows], pa.list_(pa.int32()))
+                edges = np.cumsum([0, *(len(ids) for ids, _ in rows)])
+                columns["ids"] = pa.ListArray.from_arrays(
+                    pa.array(edges, pa.int32()),
+                    pa.array(np.concatenate([np.zeros(0, np.int32), *(ids for ids, _ in rows)])),
+                )
             yield pa.RecordBatch.from_arrays(
                 [columns[name] for name in schema.names], names=schema.names
             )

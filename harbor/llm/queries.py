@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from harbor.llm import (
     chat,
     decontaminate,
+    html_text,
     near_dedup,
     pieces,
     quality,
@@ -40,6 +41,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.page_texts(table(spark, sf_dir, "pages"))
+
+
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), keep_ids=False)
 
@@ -101,6 +106,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
+    "op5_html_text": op5_html_text,
     "op6_pieces": op6_pieces,
     "op7_chat_format": op7_chat_format,
     "op8_secret_scan": op8_secret_scan,
