@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 
 # Bytes of text looked at together.  It bounds the arrays, not the rows: a
 # longer text is a slice by itself.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -99,7 +99,10 @@ class Texts:
         after = np.concatenate([solid[1:], [False]]) & ~first[1:]
         start = np.flatnonzero(solid & ~before)
         end = np.flatnonzero(solid & ~after) + 1
-        return Words(self, start, end, np.searchsorted(start, self.offsets))
+        # The words keep a twin: a cycle would stay in memory until a collection.
+        twin = Texts(self.data, self.offsets)
+        twin._prefix = self._prefix
+        return Words(twin, start, end, np.searchsorted(start, self.offsets))
 
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and text number of the lines that hold a word."""
