@@ -15,6 +15,7 @@ from harbor.llm import (
     pieces,
     quality,
     secrets,
+    suffix_dedup,
     toxicity,
     urls,
 )
@@ -41,6 +42,18 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op4_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.transform("spans", lambda s: s["end"] - s["start"])
+    return done.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(removed, F.lit(0).cast("long"), lambda a, b: a + b).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.page_texts(table(spark, sf_dir, "pages"))
 
@@ -106,6 +119,7 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
+    "op4_repeated_bytes": op4_repeated_bytes,
     "op5_html_text": op5_html_text,
     "op6_pieces": op6_pieces,
     "op7_chat_format": op7_chat_format,
