@@ -269,22 +269,26 @@ def leaks(
     listed = item_table(items)
     found = windows(docs, listed, similarity)
     flips = F.array(*[F.lit(v) for v in _variants(radius)])
-    index = _blocks(listed.select("item_id", "size", "fp", "said"), "fp").select(
+    index = _blocks(listed.select("item_id", "size", "fp"), "fp").select(
         "item_id",
         "size",
         "block",
         F.col("fp").alias("item_fp"),
-        F.col("said").alias("item_said"),
         F.explode(F.transform(flips, lambda v: F.col("bits").bitwiseXOR(v))).alias("bits"),
     )
+    said = listed.select(
+        "item_id", "size", F.col("fp").alias("item_fp"), F.col("said").alias("item_said")
+    )
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     near = (
         _blocks(found, "fp")
-        .join(index, ["size", "block", "bits"])
+        # The variants multiply the items, so neither side is small enough to broadcast.
+        .join(index.hint("merge"), ["size", "block", "bits"])
         .withColumn("distance", distance.cast("int"))
         .where(F.col("distance") <= radius)
         # Of the blocks two fingerprints meet in, one is enough.
-        .dropDuplicates(["doc_id", "start", "size", "said", "item_id", "item_said"])
+        .dropDuplicates(["doc_id", "start", "size", "said", "item_id", "item_fp"])
+        .join(said.hint("merge"), ["item_id", "size", "item_fp"])
         .withColumn("similarity", _similarities("said", "item_said"))
         .where(F.col("similarity") >= similarity)
     )
