@@ -22,16 +22,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harbor.llm.texts import Texts, Words, slices, texts_of
+from harbor.llm.texts import SLICE_BYTES, Texts, Words, slices, texts_of
 
 WINDOW, STRIDE = 32, 16
 ROWS, WIDTH, HIDDEN, ATTENTION = 1 << 15, 16, 8, 8
 
 #: Most labelled rows of each class to train on.
-SAMPLE_PER_CLASS = 1500
+SAMPLE_PER_CLASS = 1000
 #: Most windows of a text that one pass of the training looks at.
 WINDOWS_PER_TEXT = 12
+#: After so many passes, only the most toxic windows of a toxic text count as such.
+EVEN_PASSES, TOP_WINDOWS = 2, 2
 PASSES, BATCH, RATE = 6, 256, 4e-3
+#: Share of a word's embeddings left out at random while training.
+DROPPED = 0.25
+#: Windows scored together.
+TOGETHER = 1024
 THRESHOLD = 0.3
 
 #: Rows whose ``crc32(doc_id) mod 4`` is this are never trained on.
@@ -54,17 +60,32 @@ def _words(texts: Texts) -> Words:
     return blanked.words
 
 
-def inputs(words: Words) -> np.ndarray:
-    """Rows of the embedding table for each word, and for no word."""
+def _inputs(words: Words) -> np.ndarray:
     start, end, texts = words.start, words.end, words.texts
     hashes = [words.hash]
     for size in _ENDS:
         a = start if size > 0 else np.maximum(start, end + size)
         b = np.minimum(end, start + size) if size > 0 else end
         hashes.append(texts.hashes(a, b) + np.uint64(1_000_003 * (size + 64)))
-    rows = np.stack(hashes, axis=1) % np.uint64(ROWS - 1)
-    # Row 0 is no word, as is the last of the rows returned.
-    return np.vstack([rows.astype(np.int32) + 1, np.zeros((1, len(hashes)), np.int32)])
+    return (np.stack(hashes, axis=1) % np.uint64(ROWS - 1)).astype(np.int32) + 1
+
+
+def inputs(texts: Texts, together: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """Words of each text, and each word's rows of the embedding table.
+
+    Row 0 of the table is no word, as is the last of the rows returned.
+    """
+    counts, rows = [np.zeros(0, np.int64)], []
+    at = 0
+    while at < len(texts):
+        to = int(np.searchsorted(texts.offsets, texts.offsets[at] + together, side="right")) - 1
+        to = max(to, at + 1)
+        words = _words(texts.take(np.arange(at, to)))
+        counts.append(words.counts)
+        rows.append(_inputs(words))
+        at = to
+    rows.append(np.zeros((1, 1 + len(_ENDS)), np.int32))
+    return np.concatenate(counts), np.concatenate(rows)
 
 
 def window_starts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,11 +97,11 @@ def window_starts(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return text_of, (np.arange(len(text_of)) - first[text_of]) * STRIDE
 
 
-def places(words: Words, text_of: np.ndarray, at: np.ndarray) -> np.ndarray:
+def places(counts: np.ndarray, text_of: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Word numbers of windows, ``WINDOW x windows``; past a text, the number of words."""
+    first = np.cumsum(counts) - counts
     place = at + np.arange(WINDOW)[:, None]
-    inside = place < words.counts[text_of]
-    return np.where(inside, place + words.first[text_of], len(words))
+    return np.where(place < counts[text_of], place + first[text_of], counts.sum())
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -200,13 +221,19 @@ def gradients(p: Params, tape: dict, slope: np.ndarray) -> Params:
     return g
 
 
-def _learn(p: Params, rows: np.ndarray, source: np.ndarray, label: np.ndarray) -> Params:
+def _learn(
+    p: Params,
+    rows: np.ndarray,
+    source: np.ndarray,
+    label: np.ndarray,
+    rng: np.random.Generator | None = None,
+) -> Params:
     """Gradients of the mean loss of a batch of windows."""
-    used, source = np.unique(source, return_inverse=True)
-    source = source.reshape(WINDOW, -1)
+    used, source = np.unique(np.append(source, len(rows) - 1), return_inverse=True)
+    source = source[:-1].reshape(WINDOW, -1)
     rows = rows[used]
-    if rows[-1].any():  # no window of the batch ends early
-        rows = np.vstack([rows, np.zeros_like(rows[:1])])
+    if rng is not None:
+        rows = rows * (rng.random(rows.shape, np.float32) >= DROPPED)
     tape: dict = {}
     logit = logits(p, embedded(p, rows), source, tape)
     slope = (_sigmoid(logit) - label) / len(label)
@@ -219,14 +246,16 @@ def _learn(p: Params, rows: np.ndarray, source: np.ndarray, label: np.ndarray) -
 
 
 def window_logits(
-    p: Params, words: Words, rows: np.ndarray, text_of: np.ndarray, at: np.ndarray, chunk: int
+    p: Params, counts: np.ndarray, rows: np.ndarray, text_of: np.ndarray, at: np.ndarray
 ) -> np.ndarray:
-    x = embedded(p, rows)
-    parts = [
-        logits(p, x, places(words, text_of[i : i + chunk], at[i : i + chunk]))
-        for i in range(0, len(text_of), chunk)
-    ]
-    return np.concatenate([np.zeros(0, np.float32), *parts])
+    parts = [np.zeros(0, np.float32)]
+    for i in range(0, len(text_of), TOGETHER):
+        source = places(counts, text_of[i : i + TOGETHER], at[i : i + TOGETHER])
+        held = source < len(rows) - 1
+        low, high = source[0].min(), source[held].max() + 1
+        x = embedded(p, np.concatenate([rows[low:high], rows[-1:]]))
+        parts.append(logits(p, x, np.where(held, source - low, high - low)))
+    return np.concatenate(parts)
 
 
 def _adam(p: Params, g: Params, memory: dict, rate: float) -> None:
@@ -241,6 +270,16 @@ def _adam(p: Params, g: Params, memory: dict, rate: float) -> None:
         p[name] -= (scale * m / (np.sqrt(v) + 1e-7)).astype(np.float32)
 
 
+def _rank(logit: np.ndarray, text_of: np.ndarray) -> np.ndarray:
+    """Place of each window among those of its text, the highest logit first."""
+    order = np.lexsort((-logit, text_of))
+    n = np.bincount(text_of, minlength=1)
+    first = np.cumsum(n) - n
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order)) - first[text_of[order]]
+    return rank
+
+
 def features(logit: np.ndarray, text_of: np.ndarray, n_texts: int) -> np.ndarray:
     """Of each text: its three highest window logits, mean, and log of their number."""
     order = np.lexsort((-logit, text_of))
@@ -266,13 +305,12 @@ class Model:
     spread: np.ndarray
     rate: float  # of label 1, for texts without words
 
-    def scores(self, texts: Texts, chunk: int = 1024) -> np.ndarray:
+    def scores(self, texts: Texts) -> np.ndarray:
         """One score per text, from all its windows."""
-        words = _words(texts)
-        rows = inputs(words)
-        text_of, at = window_starts(words.counts)
-        logit = window_logits(self.params, words, rows, text_of, at, chunk)
-        return self._of(features(logit, text_of, len(texts)), words.counts > 0)
+        counts, rows = inputs(texts)
+        text_of, at = window_starts(counts)
+        logit = window_logits(self.params, counts, rows, text_of, at)
+        return self._of(features(logit, text_of, len(texts)), counts > 0)
 
     def _of(self, found: np.ndarray, worded: np.ndarray) -> np.ndarray:
         z = (found - self.centre) / self.spread @ self.weights[:-1] + self.weights[-1]
@@ -297,9 +335,8 @@ def train(texts: Texts, label: np.ndarray, rate: float, seed: int = 11) -> Model
     """A model of labelled texts; ``rate`` is that of label 1 among all of them."""
     rng = np.random.default_rng(seed)
     p = new_params()
-    words = _words(texts)
-    rows = inputs(words)
-    text_of, at = window_starts(words.counts)
+    counts, rows = inputs(texts)
+    text_of, at = window_starts(counts)
     n_texts = len(texts)
     if n_texts and len(text_of) and 0 < label.sum() < n_texts:
         memory: dict = {}
@@ -307,17 +344,22 @@ def train(texts: Texts, label: np.ndarray, rate: float, seed: int = 11) -> Model
         for number in range(PASSES):
             # All windows of short texts, as many of the longer ones.
             chance = np.minimum(1, WINDOWS_PER_TEXT / np.maximum(share, 1))[text_of]
-            picked = rng.permutation(np.flatnonzero(rng.random(len(text_of)) < chance))
+            used = rng.random(len(text_of)) < chance
+            if number >= EVEN_PASSES:
+                logit = window_logits(p, counts, rows, text_of, at)
+                toxic = label[text_of] == 1
+                used = np.where(toxic, _rank(logit, text_of) < TOP_WINDOWS, used)
+            picked = rng.permutation(np.flatnonzero(used))
             for i in range(0, len(picked), BATCH):
                 some = picked[i : i + BATCH]
-                source = places(words, text_of[some], at[some])
-                g = _learn(p, rows, source, label[text_of[some]])
+                source = places(counts, text_of[some], at[some])
+                g = _learn(p, rows, source, label[text_of[some]], rng)
                 _adam(p, g, memory, RATE * (1 - number / PASSES))
     model = Model(p, np.zeros(6), np.zeros(5), np.ones(5), rate)
     if n_texts == 0 or not 0 < label.sum() < n_texts:
         model.weights[-1] = -4.0
         return model
-    logit = window_logits(p, words, rows, text_of, at, 1024)
+    logit = window_logits(p, counts, rows, text_of, at)
     found = features(logit, text_of, n_texts)
     model.centre, model.spread = found.mean(axis=0), found.std(axis=0) + 1e-6
     # Each class counts as much as it does among all labelled rows.
