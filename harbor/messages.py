@@ -2,21 +2,56 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from harbor.operators.ingest import (
     DEFAULT_RULES,
+    PART,
+    WHOLE,
     IngestRules,
+    effective,
     message_parts,
+    parse_sentences,
     read_sentences,
+    routed,
     unpack,
     whole_messages,
 )
 from harbor.operators.reassemble import as_messages, assemble, check_mode
 
 
+def stage_lines(lines: DataFrame, path: str, mode: str, rules: IngestRules) -> DataFrame:
+    """Judge every line once and keep it, by route, under ``path``.
+
+    The one pass over an archive: messages, lines left out and counts are all
+    made from the stored lines, each from the folders it needs.
+    """
+    check_mode(mode)
+    # Where all sentences are numbered together, there are no whole ones.
+    found = routed(lines, effective(rules, mode), mode == "sequence")
+    found.write.partitionBy("route").parquet(path)
+    return lines.sparkSession.read.schema(found.schema).parquet(path)
+
+
+def messages_from_staged(
+    staged: DataFrame,
+    mode: str = "gap",
+    rules: IngestRules = DEFAULT_RULES,
+    keep_bits: bool = True,
+) -> DataFrame:
+    """The message table of staged lines, the same as of the lines themselves."""
+    check_mode(mode)
+
+    def sentences(*routes: str) -> DataFrame:
+        return parse_sentences(staged.where(F.col("route").isin(*routes)))
+
+    if mode == "gap" and not rules.lone_parts:
+        return unpack(assemble(sentences(WHOLE, PART), mode), keep_bits)
+    whole = as_messages(sentences(WHOLE), mode)
+    return unpack(whole.unionByName(assemble(sentences(PART), mode)), keep_bits)
+
+
 def messages_from_lines(
     lines: DataFrame,
     mode: str = "gap",
@@ -34,8 +69,7 @@ def messages_from_lines(
     if mode == "gap" and not rules.lone_parts:
         return unpack(assemble(read_sentences(lines, rules), mode), keep_bits)
     any_number = mode == "sequence"
-    if any_number:
-        rules = replace(rules, lone_parts=False)
+    rules = effective(rules, mode)
     whole = as_messages(whole_messages(lines, rules, any_number), mode)
     parts = assemble(message_parts(lines, rules, any_number), mode)
     return unpack(whole.unionByName(parts), keep_bits)

@@ -106,20 +106,27 @@ def compare_by_key(
     numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
     dtypes = dict(left.dtypes)
     values = [c for c in left.columns if c not in keys]
-    digest = F.xxhash64(*[F.col(c) for c in values]) if values else F.lit(0)
 
     def tagged(table: DataFrame, is_left: bool) -> DataFrame:
-        return table.select(
-            *keys,
-            F.lit(is_left).alias("__left"),
-            F.struct(*values).alias("__row"),
-            digest.cast("decimal(38,0)").alias("__digest"),
-        )
+        return table.select(*keys, *values, F.lit(is_left).alias("__left"))
+
+    def digest(seed: int) -> Column:
+        # A null leaves a hash unchanged, so every value comes with a flag.
+        told = [part for c in values for part in (F.col(c).isNull(), F.col(c))]
+        return F.xxhash64(F.lit(seed), *told).cast("decimal(38,0)")
 
     on_left = F.col("__left")
     grouped = (
+        # United first, so that both sides are hashed in the same types.
         tagged(left, True)
         .unionByName(tagged(right, False))
+        .select(
+            *keys,
+            "__left",
+            F.struct(*values).alias("__row"),
+            digest(1).alias("__digest"),
+            digest(2).alias("__other"),
+        )
         .groupBy(*keys)
         .agg(
             F.count_if(on_left).alias("__n_left"),
@@ -128,10 +135,16 @@ def compare_by_key(
             F.min(F.when(~on_left, F.col("__row"))).alias("__r"),
             F.sum(F.when(on_left, F.col("__digest"))).alias("__sum_l"),
             F.sum(F.when(~on_left, F.col("__digest"))).alias("__sum_r"),
+            F.sum(F.when(on_left, F.col("__other"))).alias("__other_l"),
+            F.sum(F.when(~on_left, F.col("__other"))).alias("__other_r"),
         )
     )
     n_left, n_right = F.col("__n_left"), F.col("__n_right")
-    alike = (n_left == n_right) & (F.col("__sum_l") == F.col("__sum_r"))
+    alike = (
+        (n_left == n_right)
+        & (F.col("__sum_l") == F.col("__sum_r"))
+        & (F.col("__other_l") == F.col("__other_r"))
+    )
     status = (
         F.when(n_right == 0, "left only")
         .when(n_left == 0, "right only")

@@ -8,18 +8,18 @@ A line is a tag block and a sentence, ``\\tags*sum\\!sentence*sum``.  A line is
 * ``few_fields``: fewer than seven fields, or no checksum in the seventh;
 * ``empty_payload``: a single-part message without a payload;
 * ``alphabet``: a payload character that does not stand for six bits;
-* ``fragment_number``: no readable fragment number, or a one-part message
-  numbered other than 1.
+* ``fragment_number``: no readable fragment number, a one-part message numbered
+  other than 1, or, if asked for, a number outside the message's count.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harbor.functions.checksum import line_holds, segments
+from harbor.functions.checksum import failed_sum, line_holds, segments
 from harbor.functions.payload import PAYLOAD_LENIENT, PAYLOAD_STRICT, bits_of, message_type
 
 ACCEPTED = "accepted"
@@ -56,13 +56,15 @@ class IngestRules:
     accepts lines without a tag block.  ``strict_alphabet`` also rejects the
     eight payload characters outside the protocol's alphabet.  ``lone_parts``
     rejects one-part messages numbered other than 1, which lets one-part
-    messages bypass reassembly.
+    messages bypass reassembly.  ``parts_in_count`` rejects fragments numbered
+    below 1 or above their count, which bounds what is joined into a message.
     """
 
     check_sums: bool = True
     require_meta: bool = True
     strict_alphabet: bool = False
     lone_parts: bool = True
+    parts_in_count: bool = False
 
     @property
     def alphabet(self) -> str:
@@ -72,6 +74,14 @@ class IngestRules:
 DEFAULT_RULES = IngestRules()
 
 
+def effective(rules: IngestRules, mode: str) -> IngestRules:
+    """The rules as a reassembly mode applies them.
+
+    In ``sequence`` mode one-part messages pass whatever their number.
+    """
+    return replace(rules, lone_parts=False) if mode == "sequence" else rules
+
+
 def parse_int(text: Column) -> Column:
     """Decimal int, null when unreadable or out of range."""
     return F.when(text.rlike("^[+-]?[0-9]+$"), text.try_cast("int"))
@@ -146,7 +156,7 @@ def is_whole_message(
     past reassembly before anything is parsed.  With ``any_number`` the part
     may be numbered otherwise.
     """
-    number = "[+-]?0*[0-9]{1,9}" if any_number else _ONE
+    number = _INT if any_number else _ONE
     return line.rlike(_shape(f"{rules.alphabet}+", _ONE, number))
 
 
@@ -175,9 +185,30 @@ def _accepted(lines: DataFrame, fitting: Column, rules: IngestRules) -> DataFram
     return parse_sentences(lines.where(fitting).where(sums_hold(F.col("value"), rules)))
 
 
-def _numbered(sentences: DataFrame) -> DataFrame:
+def _numbered(sentences: DataFrame, rules: IngestRules) -> DataFrame:
     # A fragment number may have more digits than an int holds.
-    return sentences.where(F.col("fragment_n").isNotNull())
+    number, count = F.col("fragment_n"), F.col("fragment_count")
+    found = sentences.where(number.isNotNull())
+    if rules.parts_in_count:
+        lone = F.coalesce(count == 1, F.lit(False))
+        found = found.where(lone | _in_count(number, count))
+    return found
+
+
+def _in_count(number: Column, count: Column) -> Column:
+    return F.coalesce((number >= 1) & (number <= count), F.lit(False))
+
+
+WHOLE, PART, LEFT_OUT = "whole", "part", "left_out"
+
+
+def routed(lines: DataFrame, rules: IngestRules, any_number: bool) -> DataFrame:
+    """``value, outcome, route``: a message by itself, a part of one, or left out."""
+    whole = is_whole_message(F.col("value"), rules, any_number)
+    return judged(lines, rules).withColumn(
+        "route",
+        F.when(F.col("outcome") != ACCEPTED, LEFT_OUT).when(whole, WHOLE).otherwise(PART),
+    )
 
 
 def whole_messages(
@@ -185,7 +216,7 @@ def whole_messages(
 ) -> DataFrame:
     """Sentence records of the accepted lines that are messages by themselves."""
     line = F.col("value")
-    return _accepted(lines, is_whole_message(line, rules, any_number), rules)
+    return _numbered(_accepted(lines, is_whole_message(line, rules, any_number), rules), rules)
 
 
 def message_parts(
@@ -194,14 +225,14 @@ def message_parts(
     """Sentence records of the other accepted lines."""
     line = F.col("value")
     whole = is_whole_message(line, rules, any_number)
-    return _numbered(_accepted(lines, ~whole & is_message_part(line, rules), rules))
+    return _numbered(_accepted(lines, ~whole & is_message_part(line, rules), rules), rules)
 
 
 def read_sentences(lines: DataFrame, rules: IngestRules = DEFAULT_RULES) -> DataFrame:
     """Sentence records of all accepted lines."""
     line = F.col("value")
     fitting = is_whole_message(line, rules) | is_message_part(line, rules)
-    return _numbered(_accepted(lines, fitting, rules))
+    return _numbered(_accepted(lines, fitting, rules), rules)
 
 
 def _numbers_ok(line: Column, rules: IngestRules) -> Column:
@@ -210,6 +241,9 @@ def _numbers_ok(line: Column, rules: IngestRules) -> Column:
     if rules.lone_parts:
         lone = F.coalesce(parse_int(_field(line, 1)) == 1, F.lit(False))
         ok = ok & (~lone | (number == 1))
+    if rules.parts_in_count:
+        count = parse_int(_field(line, 1))
+        ok = ok & (F.coalesce(count == 1, F.lit(False)) | _in_count(number, count))
     return ok
 
 
@@ -218,13 +252,18 @@ def _is_empty_message(line: Column) -> Column:
     return lone & (F.coalesce(_field(line, 5), F.lit("")) == "")
 
 
-def outcome(line: Column, rules: IngestRules = DEFAULT_RULES) -> Column:
-    """``accepted``, or the first reason why the line is left out."""
+def outcome(
+    line: Column, rules: IngestRules = DEFAULT_RULES, holds: Column | None = None
+) -> Column:
+    """``accepted``, or the first reason why the line is left out.
+
+    ``holds`` says whether the sums hold, where that is known already.
+    """
     parts = segments(line)
     fields = F.split(F.get(parts, F.lit(1)), ",")
     sum_part = F.get(F.split(F.rtrim(F.get(fields, F.lit(6)), F.lit("*")), "\\*"), F.lit(1))
     return (
-        F.when(~sums_hold(line, rules), "checksum")
+        F.when(~(sums_hold(line, rules) if holds is None else holds), "checksum")
         .when(F.size(parts) < 2, "no_sentence")
         .when((F.size(fields) < 7) | sum_part.isNull(), "few_fields")
         .when(_is_empty_message(line), "empty_payload")
@@ -234,25 +273,48 @@ def outcome(line: Column, rules: IngestRules = DEFAULT_RULES) -> Column:
     )
 
 
+def judged(lines: DataFrame, rules: IngestRules = DEFAULT_RULES) -> DataFrame:
+    """``value, outcome`` of every line, each summed once.
+
+    The sum goes through an array of one, which no filter on the outcome can
+    be pushed below, where it would be computed again.
+    """
+    line = F.col("value")
+    summed = lines.select(
+        "value", F.explode(F.array(sums_hold(line, rules))).alias("__holds")
+    )
+    return summed.select("value", outcome(line, rules, F.col("__holds")).alias("outcome"))
+
+
 def checksum_filter(lines: DataFrame, require_meta: bool = True) -> DataFrame:
     """Lines all of whose segments carry their own checksum."""
     return lines.where(line_holds(F.col("value"), require_meta))
 
 
+def with_failed_sum(left_out: DataFrame, rules: IngestRules = DEFAULT_RULES) -> DataFrame:
+    """Append ``segment, claimed, computed`` of the sum that did not hold, if any."""
+    failed = F.when(
+        F.col("outcome") == "checksum", failed_sum(F.col("value"), rules.require_meta)
+    )
+    return left_out.withColumn("__failed", failed).select(
+        *left_out.columns, "__failed.segment", "__failed.claimed", "__failed.computed"
+    )
+
+
 def quarantine(lines: DataFrame, rules: IngestRules = DEFAULT_RULES) -> DataFrame:
-    """The lines left out, as ``(value, outcome)``."""
-    judged = lines.select("value", outcome(F.col("value"), rules).alias("outcome"))
-    return judged.where(F.col("outcome") != ACCEPTED)
+    """The lines left out: ``value, outcome`` and the sum that did not hold."""
+    return with_failed_sum(judged(lines, rules).where(F.col("outcome") != ACCEPTED), rules)
 
 
 def ingest_counts(lines: DataFrame, rules: IngestRules = DEFAULT_RULES) -> DataFrame:
     """Lines per outcome and message type of the line's own payload."""
-    line = F.col("value")
+    return counted(judged(lines, rules))
+
+
+def counted(judged_lines: DataFrame) -> DataFrame:
+    """Lines per outcome and message type, from ``value, outcome``."""
     return (
-        lines.select(
-            outcome(line, rules).alias("outcome"),
-            first_type(_field(line, 5)).alias("id"),
-        )
+        judged_lines.select("outcome", first_type(_field(F.col("value"), 5)).alias("id"))
         .groupBy("outcome", "id")
         .agg(F.count(F.lit(1)).alias("n_lines"))
     )
@@ -282,10 +344,15 @@ def sentences_as_messages(
     check_sums: bool = True,
     keep_bits: bool = True,
 ) -> DataFrame:
-    """Each accepted line as a message of its own, fragments left unmerged.
+    """Each line as a message of its own, fragments left unmerged.
 
-    Used to rebuild messages from the raw line kept in a checked table.
+    Used to rebuild messages from the raw line kept in a checked table.  As
+    nothing is merged, any fragment number will do, unreadable ones too.
     """
-    rules = IngestRules(check_sums=check_sums)
+    rules = IngestRules(check_sums=check_sums, lone_parts=False)
     lines = lines.select(F.col(column).alias("value"))
-    return unpack(read_sentences(lines, rules), keep_bits)
+    line, alphabet = F.col("value"), rules.alphabet
+    fitting = line.rlike(_shape(f"{alphabet}+", _ONE, _ANY)) | line.rlike(
+        _shape(f"{alphabet}*", f"(?!{_ONE},){_ANY}", _ANY)
+    )
+    return unpack(_accepted(lines, fitting, rules), keep_bits)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+# The columns that identify a message, by their names in the table.
 MESSAGE_KEYS = (
     "packet_type",
     "fragment_count",
@@ -52,9 +53,9 @@ SEQUENCE_KEYS = (
     "timestamp",
 )
 
-# Leading digest digits that name a bucket: 4096 buckets per fragment number.
-_BUCKET_DIGITS = 3
-# Copies of one sentence numbered by a single row.
+# Leading digest digits that name a bucket: 256 buckets per fragment number.
+_BUCKET_DIGITS = 2
+# Copies of one sentence that one row is unfolded into; of no effect on results.
 _COPIES_PER_ROW = 4096
 # Stands for null in the bucketing keys; outside the range of an int or epoch.
 _NO_VALUE = -(1 << 60)
@@ -93,11 +94,8 @@ def number_fragments(sentences: DataFrame) -> DataFrame:
         .withColumn("__digest", tie_digest())
     )
     group = [f"__key_{c}" for c in SECOND_KEYS]
-    place = ["__number", "__bucket", "__run"]
+    place = ["__number", "__bucket"]
     bucket = group + place
-    runs = F.sequence(
-        F.lit(0).cast("long"), F.col("__copies") - 1, F.lit(_COPIES_PER_ROW).cast("long")
-    )
     rows = copies.select(
         *columns,
         "__digest",
@@ -105,9 +103,6 @@ def number_fragments(sentences: DataFrame) -> DataFrame:
         *[_present(c).alias(k) for c, k in zip(SECOND_KEYS, group)],
         _present("fragment_n").alias("__number"),
         F.substring("__digest", 1, _BUCKET_DIGITS).alias("__bucket"),
-        F.explode(runs).alias("__run"),
-    ).withColumn(
-        "__size", F.least(F.col("__copies") - F.col("__run"), F.lit(_COPIES_PER_ROW))
     )
     within = (
         W.partitionBy(*bucket)
@@ -115,18 +110,36 @@ def number_fragments(sentences: DataFrame) -> DataFrame:
         .rowsBetween(W.unboundedPreceding, -1)
     )
     placed = rows.withColumn(
-        "__before", F.coalesce(F.sum("__size").over(within), F.lit(0))
+        "__before", F.coalesce(F.sum("__copies").over(within), F.lit(0))
     )
-    totals = placed.groupBy(*bucket).agg(F.sum("__size").alias("__total"))
+    totals = placed.groupBy(*bucket).agg(F.sum("__copies").alias("__total"))
     earlier = W.partitionBy(*group).orderBy(*place).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
         *bucket, F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__offset")
     )
-    numbered = placed.join(offsets, bucket).withColumn(
-        "__step", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__size")))
+    # All copies are numbered as one row; only then are they told apart, those
+    # of a very frequent sentence by many tasks.
+    first = F.col("__offset") + F.col("__before")
+    numbered = placed.join(offsets, bucket).select(
+        *columns, "__digest", "__copies", (F.col("fragment_n") - first).alias("__first")
+    )
+    few = F.col("__copies") <= _COPIES_PER_ROW
+    runs = F.sequence(
+        F.lit(0).cast("long"), F.col("__copies") - 1, F.lit(_COPIES_PER_ROW).cast("long")
+    )
+    spread = (
+        numbered.where(~few)
+        .withColumn("__run", F.explode(runs))
+        .repartition("__digest", "__run")
+    )
+    once = numbered.where(few).withColumn("__run", F.lit(0).cast("long"))
+    end = F.least(F.col("__copies"), F.col("__run") + _COPIES_PER_ROW)
+    step = F.explode(F.sequence(F.col("__run") + 1, end)).alias("__step")
+    return (
+        once.unionByName(spread)
+        .select(*columns, "__first", step)
+        .select(*columns, (F.col("__first") - F.col("__step")).alias("generated_id"))
     )
-    number = F.col("__offset") + F.col("__before") + F.col("__step")
-    return numbered.select(*columns, (F.col("fragment_n") - number).alias("generated_id"))
 
 
 def _joined(parts: Column) -> Column:
@@ -137,8 +150,9 @@ def _joined(parts: Column) -> Column:
 def merge_fragments(numbered: DataFrame) -> DataFrame:
     """Join the payloads that share their keys and ``generated_id``.
 
-    Within such a group every fragment number occurs once, so a group is no
-    larger than the message it becomes.
+    Within such a group every fragment number occurs once, so a group has as
+    many parts as there are different fragment numbers.  Those are not held to
+    the message's count here; ``IngestRules.parts_in_count`` does that.
     """
     return (
         numbered.groupBy(*MESSAGE_KEYS, "generated_id")
@@ -153,7 +167,8 @@ def assemble_gap(fragments: DataFrame) -> DataFrame:
 
 
 def assemble_sequence(fragments: DataFrame) -> DataFrame:
-    """Messages linked by message number, with ``is_complete``.
+    """Messages linked by message number, with ``is_complete``: every number up
+    to the count is there, and no other.
 
     A repeated fragment counts once (the smallest payload is kept) and the
     padding is that of the highest fragment.  Fragments heard in different
@@ -170,14 +185,19 @@ def assemble_sequence(fragments: DataFrame) -> DataFrame:
                 F.struct("fragment_n", F.col("__part.data").alias("data"))
             ).alias("__parts"),
             F.max_by("__part.padding", "fragment_n").alias("padding"),
-            F.count(F.lit(1)).alias("__n"),
+            F.count("fragment_n").alias("__n"),
+            F.min("fragment_n").alias("__low"),
+            F.max("fragment_n").alias("__high"),
         )
         .select(
             *MESSAGE_KEYS,
             _joined(F.col("__parts")).alias("data"),
-            F.coalesce(F.col("__n") == F.col("fragment_count"), F.lit(False)).alias(
-                "is_complete"
-            ),
+            F.coalesce(
+                (F.col("__n") == F.col("fragment_count"))
+                & (F.col("__low") == 1)
+                & (F.col("__high") == F.col("fragment_count")),
+                F.lit(False),
+            ).alias("is_complete"),
         )
     )
 

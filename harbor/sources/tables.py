@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def write_messages(
-    messages: DataFrame, path: str, mode: str = "errorifexists", compact: bool = False
+    messages: DataFrame, path: str, mode: str = "errorifexists", compact: bool = True
 ) -> None:
     """Write a message table, one folder per message type.
 
-    Every task writes a file per type it holds.  ``compact`` first rebalances
-    the rows by type, letting Spark split the large types and join the small
-    ones into well-sized files, at the price of one shuffle.
+    ``compact`` first rebalances the rows by type, letting Spark split the large
+    types and join the small ones into well-sized files, at the price of one
+    shuffle.  Without it every task writes a file per type it holds, which at
+    scale makes millions of them.
     """
     if compact:
         messages = messages.hint("rebalance", "id")

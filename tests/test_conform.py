@@ -1,12 +1,13 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from harbor import jobs
 from harbor.operators import conform as C
 from harbor.operators import ingest
 from harbor.sources.checked_csv import read_checked, write_by_family
-from tests.synth import FAILS, KNOWN_LINES, PASSES, frame
+from tests.synth import FAILS, KNOWN_LINES, PASSES, POSITION, frame, line
 
 
 def report(frame):
@@ -83,21 +84,90 @@ def test_csv_by_family(spark, tmp_path):
 def test_messages_from_a_checked_table(spark):
     rows = frame(spark, [PASSES, FAILS, KNOWN_LINES[0]]).withColumnRenamed("value", "rawInput")
     checked = ingest.sentences_as_messages(rows, "rawInput")
-    assert sorted(r.data for r in checked.collect()) == ["13aEOK?P00PD2wVMdLDRhgvL289?", "PART?B"]
+    assert sorted(r.data for r in checked.collect()) == sorted([POSITION, "Q8w1"])
     assert ingest.sentences_as_messages(rows, "rawInput", check_sums=False).count() == 3
 
 
+def test_rebuilding_takes_any_fragment_number(spark):
+    lines = [line("15", number=2), line("16", number=""), line("17", 2, "x"), line("", 1, 2)]
+    got = ingest.sentences_as_messages(frame(spark, lines)).collect()
+    assert sorted(r.data for r in got) == ["15", "16", "17"]
+
+
+def test_swapped_nulls_and_mixed_types(spark):
+    """Under a repeated key, rows are alike only if their values are."""
+    schema = "k int, a int, b int"
+    left = spark.createDataFrame([(1, None, 5), (1, 1, 1)], schema)
+    swapped = spark.createDataFrame([(1, 5, None), (1, 1, 1)], schema)
+    assert report(C.compare_by_key(left, swapped, ["k"]))["(ambiguous)"] == (4, 4)
+    wider = left.select("k", F.col("a").cast("double").alias("a"), "b")
+    got = report(C.compare_by_key(left, wider, ["k"]))
+    assert got["(ambiguous)"] == (0, 0) and got["a"] == (2, 0)
+
+
 def test_jobs_end_to_end(spark, tmp_path):
     source, target = tmp_path / "lines", str(tmp_path / "messages")
     source.mkdir()
     (source / "a.dat").write_text("\n".join([PASSES, FAILS, *KNOWN_LINES, "!", ""]))
-    jobs.main(["ingest", str(source / "*.dat"), target, "--quarantine", str(tmp_path / "left_out"), "--compact"])
+    jobs.main(
+        ["ingest", str(source / "*.dat"), target, "--quarantine", str(tmp_path / "left_out"),
+         "--counts", str(tmp_path / "counts")]
+    )
     stored = spark.read.parquet(target)
     assert stored.columns[-1] == "id"
-    assert sorted(r.id for r in stored.collect()) == [1, 32, 32, 32]
+    assert sorted(r.id for r in stored.collect()) == [1, 33, 33, 33]
     left_out = {r.outcome for r in spark.read.parquet(str(tmp_path / "left_out")).collect()}
     assert left_out == {"checksum", "no_sentence"}
+    counts = spark.read.parquet(str(tmp_path / "counts")).collect()
+    assert sum(r.n_lines for r in counts if r.outcome == "accepted") == 7
     for family in jobs.DECODERS:
         jobs.main(["decode", family, target, str(tmp_path / f"decoded_{family}")])
     table = spark.read.parquet(str(tmp_path / "decoded_123"))
-    assert [r.mmsi for r in table.collect()] == [244670316]
+    assert [r.mmsi for r in table.collect()] == [219018271]
+
+
+def test_job_flags(spark, tmp_path):
+    source = tmp_path / "lines"
+    source.mkdir()
+    lines = [
+        PASSES, PASSES[PASSES.index("!") :], FAILS, line("15X"), line("15", number=2),
+        line("15", 2, 3), line("15", 2, 1),
+    ]
+    (source / "a.dat").write_text("\n".join(lines))
+
+    def n_messages(*flags):
+        target = str(tmp_path / f"messages{''.join(flags)}")
+        jobs.main(["ingest", str(source), target, *flags])
+        return spark.read.parquet(target).count()
+
+    plain = n_messages()
+    assert n_messages("--bare") == plain + 1
+    assert n_messages("--unchecked", "--no-bits", "--no-compact") == plain + 2
+    assert n_messages("--strict") == plain - 1
+    assert n_messages("--parts-in-count") == plain - 1
+    assert n_messages("--mode", "sequence") == plain
+    assert n_messages("--number-all") >= 1
+
+    target = str(tmp_path / "messages")
+    decoded = str(tmp_path / "decoded")
+    jobs.main(["decode", "123", target, decoded, "--extras", "--course-absent", "3600"])
+    assert "radio_status" in spark.read.parquet(decoded).columns
+    jobs.main(["decode", "5", target, decoded + "5", "--trim-text"])
+    jobs.main(["decode", "24", target, decoded + "24", "--trim-text", "--by-number-only"])
+    with pytest.raises(SystemExit):
+        jobs.main(["decode", "18", target, decoded + "18", "--extras"])
+
+
+def test_compare_job(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(1, None, 219018271, 12.3, PASSES), (1, None, 219018271, 99.0, FAILS)],
+        "id int, part_num int, mmsi int, sog double, rawInput string",
+    )
+    path, target = str(tmp_path / "checked"), str(tmp_path / "report")
+    write_by_family(rows, path)
+    jobs.main(
+        ["compare", "123", path, target, "--names", "mmsi=mmsi,speed_over_ground=sog",
+         "--keys", "mmsi", "--tolerances", "sog=0.001"]
+    )
+    got = report(spark.read.parquet(target))
+    assert got["(ambiguous)"] == (3, 3)

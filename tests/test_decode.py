@@ -5,10 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from harbor.functions.readings import NAVIGATION_STATUS
 from harbor.operators import decode as D
 from harbor.operators import static_reports as S
 from harbor.messages import messages_from_lines
+from tests.labels import STATUS_LABELS
 from tests.synth import PASSES, frame, line, number_bits, payload, text_bits
 
 
@@ -34,13 +34,13 @@ def position_a(**given):
 
 def test_known_position(spark):
     (row,) = by_time(D.drop_working(D.decode_position_a(messages_from_lines(frame(spark, [PASSES])))))
-    assert row.pop("timestamp").timestamp() == 1459470764
+    assert row.pop("timestamp").timestamp() == 1500000500
     assert row == {
-        "port": 102, "port_mmsi": 2320767, "id": 1, "repeat_indicator": 0,
-        "mmsi": 244670316, "navigation_status": None, "rate_of_turn": None,
-        "speed_over_ground": 0.0, "position_accuracy": 1, "longitude": 4.379285,
-        "latitude": 51.89475, "course_over_ground": 70.6, "true_heading": None,
-        "timestamp_seconds": 14, "manoeuvre_indicator": 0, "raim": 1,
+        "port": 41, "port_mmsi": 2190001, "id": 1, "repeat_indicator": 2,
+        "mmsi": 219018271, "navigation_status": "Moored", "rate_of_turn": -((20 / 4.733) ** 2),
+        "speed_over_ground": 12.3, "position_accuracy": 1, "longitude": 7350123 / 600000,
+        "latitude": 33660456 / 600000, "course_over_ground": 271.5, "true_heading": 269,
+        "timestamp_seconds": 37, "manoeuvre_indicator": 1, "raim": 1,
     }
 
 
@@ -64,7 +64,7 @@ def test_position_boundaries(spark):
         (dict(second=59), "timestamp_seconds", 59),
         (dict(second=60), "timestamp_seconds", None),
         (dict(type=3, mmsi=(1 << 30) - 1), "mmsi", (1 << 30) - 1),
-    ] + [(dict(status=s), "navigation_status", NAVIGATION_STATUS.get(s)) for s in range(16)]
+    ] + [(dict(status=s), "navigation_status", STATUS_LABELS[s]) for s in range(16)]
     rows = by_time(D.decode_position_a(messages(spark, [position_a(**c[0]) for c in cases])))
     assert len(rows) == len(cases)
     for row, (given, column, want) in zip(rows, cases):

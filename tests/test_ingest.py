@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from harbor.operators import ingest as I
 from harbor.operators.ingest import IngestRules
-from harbor.messages import messages_from_lines
+from harbor.messages import messages_from_lines, messages_from_staged, stage_lines
 from tests.synth import KNOWN_LINES, PASSES, frame, line, xor
 
 
@@ -58,7 +58,7 @@ def test_rules(spark):
     bare = PASSES[PASSES.index("!") :]
     assert outcomes(spark, [bare], IngestRules(require_meta=False)) == ["accepted"]
     loose = IngestRules(check_sums=False)
-    assert outcomes(spark, [PASSES.replace(",A,", ",B,")], loose) == ["accepted"]
+    assert outcomes(spark, [PASSES.replace(",A,", ",B,", 1)], loose) == ["accepted"]
     strict = IngestRules(strict_alphabet=True)
     assert outcomes(spark, [body_line("AIVDM,1,1,,A,15X,0")], strict) == ["alphabet"]
     lone = IngestRules(lone_parts=False)
@@ -73,21 +73,22 @@ def test_extra_segments_must_hold_as_well(spark):
 def test_parse_known_line(spark):
     row = I.parse_sentences(frame(spark, [KNOWN_LINES[0]])).first().asDict()
     epoch = row.pop("timestamp").timestamp()
+    tags, _, body = KNOWN_LINES[0].partition("!")
     assert row == {
-        "packet_type": "BSVDM",
+        "packet_type": "AIVDM",
         "fragment_count": 3,
         "fragment_n": 2,
-        "message_id": 0,
-        "radio_channel": "A",
-        "data": "PART?B",
+        "message_id": 4,
+        "radio_channel": "B",
+        "data": "Q8w1",
         "padding": 0,
-        "checksum_packet": "64",
+        "checksum_packet": body[-2:],
         "s": "ASM",
-        "port": 123,
-        "port_mmsi": 7654321,
-        "checksum_meta": "47",
+        "port": 41,
+        "port_mmsi": 2190001,
+        "checksum_meta": tags[-3:-1],
     }
-    assert epoch == 1470077225
+    assert epoch == 1500000123
 
 
 def test_unreadable_tags_are_null(spark):
@@ -106,14 +107,65 @@ def test_epoch_beyond_an_int_is_null(spark):
 def test_six_known_lines_make_three_messages(spark):
     got = messages_from_lines(frame(spark, KNOWN_LINES)).collect()
     assert {(r.fragment_count, r.data, r.id) for r in got} == {
-        (1, "PART?A", 32),
-        (2, "PART?APART?B", 32),
-        (3, "PART?APART?BPART?C", 32),
+        (1, "Q3", 33),
+        (2, "Q0aQ9b", 33),
+        (3, "Q7v0Q8w1Q5t2", 33),
     }
     assert len(got) == 3
     assert all(len(r.dataBinary) == 6 * len(r.data) for r in got)
 
 
+def test_every_line_is_in_the_messages_or_left_out(spark):
+    """In both modes, and staged or not; one-part lines numbered otherwise included."""
+    odd = [body_line("AIVDM,1,2,,A,15,0"), body_line("AIVDM,1,1234567890,,A,15,0")]
+    rows = frame(spark, [*CASES, *odd, *odd, odd[1]])
+    for mode in ("gap", "sequence"):
+        rules = I.effective(I.DEFAULT_RULES, mode)
+        n_left_out = I.quarantine(rows, rules).count()
+        any_number = mode == "sequence"
+        routed = I.routed(rows, I.effective(I.DEFAULT_RULES, mode), any_number)
+        n = {r["route"]: r["count"] for r in routed.groupBy("route").count().collect()}
+        assert n[I.LEFT_OUT] == n_left_out and sum(n.values()) == rows.count()
+        assert n[I.WHOLE] == I.whole_messages(rows, rules, any_number).count()
+        assert n[I.PART] == I.message_parts(rows, rules, any_number).count()
+    messages = messages_from_lines(frame(spark, odd * 3), "sequence")
+    assert messages.count() == 6  # one to one, however long the number
+
+
+def test_staged_lines_make_the_same_messages(spark, tmp_path):
+    rows = frame(spark, [*CASES, *KNOWN_LINES])
+    for mode in ("gap", "sequence"):
+        for rules in (I.DEFAULT_RULES, IngestRules(lone_parts=False, parts_in_count=True)):
+            path = str(tmp_path / f"{mode}-{rules.lone_parts}")
+            staged = stage_lines(rows, path, mode, rules)
+            got = messages_from_staged(staged, mode, rules)
+            want = messages_from_lines(rows, mode, rules)
+            assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_parts_outside_the_count(spark):
+    rules = IngestRules(parts_in_count=True)
+    lines = [body_line(f"AIVDM,2,{n},,A,15,0") for n in (0, 1, 2, 3)]
+    assert outcomes(spark, lines, rules) == ["fragment_number", "accepted", "accepted", "fragment_number"]
+    assert I.message_parts(frame(spark, lines), rules).count() == 2
+    assert outcomes(spark, lines) == ["accepted"] * 4
+
+
+def test_quarantine_tells_the_sum_that_failed(spark):
+    bad = PASSES[:-2] + "ZZ"
+    body = bad[bad.index("!") + 1 : -3]
+    rows = I.quarantine(frame(spark, [bad, "junk", body_line("AIVDM,1,1,,A,,0")])).collect()
+    got = {r.value: (r.outcome, r.segment, r.claimed, r.computed) for r in rows}
+    assert got[bad] == ("checksum", 1, "ZZ", xor(body))
+    assert got["junk"] == ("checksum", 0, None, xor("junk"))
+    assert got[body_line("AIVDM,1,1,,A,,0")] == ("empty_payload", None, None, None)
+
+
+def test_quarantine_sums_each_line_once(spark):
+    plan = I.quarantine(frame(spark, [PASSES]))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_counts(spark):
     rows = frame(spark, [PASSES, PASSES, body_line("AIVDM,1,1,,A,,0"), "junk"])
     got = {(r.outcome, r.id): r.n_lines for r in I.ingest_counts(rows).collect()}

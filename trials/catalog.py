@@ -11,7 +11,7 @@ from harbor.functions import bitstring as B
 from harbor.functions.readings import navigation_status
 from harbor.operators import conform, decode, ingest, reassemble, static_reports
 from harbor.operators.ingest import IngestRules
-from harbor.messages import messages_from_lines
+from harbor.messages import messages_from_lines, messages_from_staged, stage_lines
 from harbor.sources.checked_csv import read_checked, write_by_family
 from harbor.sources.tables import read_messages, read_table, write_messages, write_table
 from trials import fields as D
@@ -119,6 +119,24 @@ def reassemble_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_epoch(reassemble.reassemble(L.fragments(spark, sf_dir), mode="sequence"))
 
 
+def reassemble_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More copies of one sentence than are unfolded together."""
+    return with_epoch(reassemble.reassemble(L.hot_fragments(spark, sf_dir), bypass=False))
+
+
+def messages_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = L.fragment_lines(spark, sf_dir, D.MIXED)
+    return with_epoch(messages_from_lines(lines, "sequence", keep_bits=False))
+
+
+def staged_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages by way of staged lines."""
+    rules = IngestRules()
+    lines = L.fragment_lines(spark, sf_dir, D.MIXED)
+    staged = stage_lines(lines, L.shared_folder(spark) + "/staged", "sequence", rules)
+    return with_epoch(messages_from_staged(staged, "sequence", rules, keep_bits=False))
+
+
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = L.spoilt_lines(spark, sf_dir).union(L.fragment_lines(spark, sf_dir))
     return with_epoch(messages_from_lines(lines, keep_bits=False))
@@ -404,6 +422,9 @@ QUERIES: dict[str, Query] = {
         parse_sentence,
         reassemble_gap,
         reassemble_sequence,
+        reassemble_hot,
+        messages_sequence,
+        staged_sequence,
         raw_messages,
         unpack_bits,
         message_type_counts,

@@ -173,6 +173,23 @@ FRAGMENT = {
     "epoch": "1459468800 + l_orderkey % 1000",
 }
 
+# The same lines with one-part messages among them, some with long numbers.
+MIXED = FRAGMENT | {
+    "fragment_count": "CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 3 + l_orderkey % 5 END",
+    "fragment_n": "CASE WHEN l_orderkey % 9 = 0 THEN 1234567890 ELSE l_linenumber END",
+}
+
+# Sentences of one second: name, type, expression.
+HOT_FRAGMENT = (
+    ("fragment_n", "int", "CASE WHEN event_id % 10 = 0 THEN 2 ELSE 1 END"),
+    (
+        "data",
+        "string",
+        "CASE WHEN event_id % 10 = 0 THEN concat('2', CAST(event_id % 7 AS STRING))"
+        " WHEN event_id % 3 = 0 THEN '12' ELSE '13' END",
+    ),
+)
+
 # How an event's line is spoilt after its sums were taken.
 SPOILT = (
     "CASE event_id % 10"

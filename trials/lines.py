@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harbor.sources import shared
 from harbor.sources.lines import read_lines
 
 from trials import fields as D
@@ -20,10 +20,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """A new folder under the one the cluster names for shared intermediate data."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return f"{base.rstrip('/')}/trial-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix="run-")
+    return f"{shared.shared_folder(spark)}/trial-{uuid.uuid4().hex}"
 
 
 def stored(lines: DataFrame) -> DataFrame:
@@ -178,9 +175,11 @@ def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(with_line(exploded, tags, sentence(F.col("part.data"))))
 
 
-def fragment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fragment_lines(
+    spark: SparkSession, sf_dir: str, fields: dict[str, str] = D.FRAGMENT
+) -> DataFrame:
     rows = table(spark, sf_dir, "lineitem").select(
-        *[_expr(text).alias(name) for name, text in D.FRAGMENT.items()]
+        *[_expr(text).alias(name) for name, text in fields.items()]
     )
     tags = tag_block(F.col("port"), F.col("port_mmsi"), F.col("epoch"))
     body = sentence(
@@ -194,6 +193,22 @@ def fragment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(with_line(rows, tags, body))
 
 
+def hot_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as sentences of one station and second, most of them copies of two."""
+    return table(spark, sf_dir, "events").select(
+        F.lit("AIVDM").alias("packet_type"),
+        F.lit(2).alias("fragment_count"),
+        *[_expr(text).cast(kind).alias(name) for name, kind, text in D.HOT_FRAGMENT],
+        F.lit(0).alias("message_id"),
+        F.lit("A").alias("radio_channel"),
+        F.lit(0).alias("padding"),
+        F.lit("ASM").alias("s"),
+        F.lit(1).alias("port"),
+        F.lit(2).alias("port_mmsi"),
+        F.timestamp_seconds(F.lit(1459468800)).alias("timestamp"),
+    )
+
+
 def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as sentence records, without the detour over text."""
     return table(spark, sf_dir, "lineitem").select(
