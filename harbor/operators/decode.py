@@ -13,7 +13,7 @@ from harbor.functions.readings import to_signed
 from harbor.plans import layouts as L
 from harbor.plans.layouts import Field, Layout
 
-# Columns of the message table that a decoded table seldom needs.
+# Columns of the message table that a decoded table seldom needs.
 WORKING_COLUMNS = (
     "dataBinary",
     "data",
@@ -167,9 +167,32 @@ def decode_position_a(
     return decode(messages, layout, extras)
 
 
+def _method_end(frame: DataFrame) -> DataFrame:
+    """The same rows; the method generated for what follows is another one.
+
+    Methods above 8000 bytes are never compiled.  An array of one keeps the
+    projections on either side from being merged into one.
+    """
+    row = F.explode(F.array(F.struct(*frame.columns))).alias("__row")
+    return frame.select(row).select("__row.*")
+
+
 def decode_static_voyage(messages: DataFrame, trim_text: bool = False) -> DataFrame:
-    """Static and voyage data, type 5, of any payload length."""
-    return decode(messages, L.STATIC_VOYAGE, trim_text=trim_text)
+    """Static and voyage data, type 5, of any payload length.
+
+    Whole payloads, nearly all, are read without a look at their length; only
+    the others are read with care for missing bits, numbers before texts.
+    """
+    fields = L.STATIC_VOYAGE.fields
+    n_whole = -(-max(f.end for f in fields) // P.BITS_PER_CHAR)
+    rows = of_types(messages, L.STATIC_VOYAGE.types)
+    whole = F.coalesce(F.length("data") >= n_whole, F.lit(False))
+    full = with_fields(rows.where(whole), fields, n_whole, trim_text)
+    texts = [f for f in fields if f.kind == "text"]
+    numbers = [f for f in fields if f.kind != "text"]
+    cut = with_fields(rows.where(~whole), numbers)
+    cut = with_fields(_method_end(cut), texts, trim_text=trim_text)
+    return full.unionByName(cut)
 
 
 def decode_position_b(messages: DataFrame) -> DataFrame:

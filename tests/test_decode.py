@@ -236,3 +236,24 @@ def test_drop_working(spark, name):
 def test_time_stays(spark):
     table = D.drop_working(messages(spark, [position_a()], [42]))
     assert table.select(F.unix_seconds("timestamp")).first()[0] == 42
+
+
+def test_generated_methods_are_short_enough_to_be_compiled(spark, tmp_path):
+    """HotSpot compiles no method above 8000 bytes."""
+    path = str(tmp_path / "messages")
+    spark.createDataFrame(
+        [("5" * 71, 5, 1)], "data string, id int, timestamp int"
+    ).write.parquet(path)
+    stored = spark.read.parquet(path)
+    debug = getattr(spark._jvm, "org.apache.spark.sql.execution.debug.package")
+    for decoded in (
+        D.decode_static_voyage(stored),
+        D.decode_position_a(stored),
+        D.decode_position_b(stored),
+        S.detail_parts(stored),
+    ):
+        plan = D.drop_working(decoded)._jdf.queryExecution().executedPlan()
+        stages = debug.codegenStringSeq(plan)
+        assert stages.size() > 0
+        for i in range(stages.size()):
+            assert 0 < stages.apply(i)._3().maxMethodCodeSize() < 8000
