@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harbor.llm.storage import shared_folder
+from harbor.llm.storage import checkpoint_folder
 
 #: Far above the logarithm of any number of nodes.
 MAX_ROUNDS = 60
@@ -52,7 +52,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     do not matter; the ends must not be null.  Each round ends in a checkpoint
     in shared storage.
     """
-    shared_folder(edges.sparkSession)
+    checkpoint_folder(edges.sparkSession)
     current = (
         edges.select(F.greatest(a, b).alias("v"), F.least(a, b).alias("m"))
         .where(F.col("v") != F.col("m"))

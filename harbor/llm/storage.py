@@ -2,28 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from harbor.sources.shared import shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``.
 
-    Where it is unset, a temporary one on a local master, as in tests; on a
-    cluster that would be each machine's own, so there it is an error.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if folder is None:
-        folder = context.getCheckpointDir()
-    if folder is None:
-        if context.master != "local" and not context.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="harbor-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder, also set as that of checkpoints where none is set."""
+    folder = shared_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
