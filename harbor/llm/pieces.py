@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -471,7 +472,7 @@ def decode(encoded: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
     sent = encoded.sparkSession.sparkContext.broadcast(_model_bytes(model_file))
 
     @F.pandas_udf(T.StringType())
-    def text_of(batches: Iterator) -> Iterator:
+    def text_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(read_vocabulary(sent.value))
         for ids in batches:
             yield ids.map(lambda i: "" if i is None else encoder.decode(i).decode())

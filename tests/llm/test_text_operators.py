@@ -1,0 +1,398 @@
+"""Operators on whole texts, against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import time
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from harbor.llm import html_text, pieces, quality, secrets, suffix_dedup, toxicity
+from harbor.llm.texts import texts_of
+from tests.llm.frames import ALL_IDS, LONG, PROSE, ROWS, documents, ids_of
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def base_measures(text):
+    text = text or ""
+    words = WORD.findall(text)
+    seen, dup = set(), 0
+    for row in text.split("\n"):
+        if WORD.search(row):
+            dup += row in seen
+            seen.add(row)
+    at = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    n = Counter(at)
+    covered = {i + k for i, w in enumerate(at) if n[w] > 1 for k in range(8)}
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), dup, len(covered)
+
+
+def random_texts(seed, n):
+    rng = random.Random(seed)
+    alphabet = ["a", "b", "é", "漢", "|", "#", "!", "X", "\t", "\n", "\n", " ", " ", "\x0b", "\x1c", "\u00a0"]
+    return ["".join(rng.choice(alphabet) for _ in range(rng.randrange(200))) for _ in range(n)]
+
+
+def test_base_measures_of_many_texts(spark):
+    texts = random_texts(1, 300) + ["a b c d e f g h " * 3, "x\n\nx\nx", None]
+    rows = quality.quality_report(documents(spark, list(enumerate(texts)))).collect()
+    for row in rows:
+        want = base_measures(texts[row.doc_id])
+        assert tuple(row[m] for m in quality.MEASURES) == want
+        failed = want[0] < 20 or 100 * want[4] > 30 * want[0]
+        assert row.base_failed == failed and not (failed and row.kept)
+
+
+def test_the_order_of_the_rules_does_not_matter(spark):
+    texts = texts_of(pa.array(random_texts(2, 200) + [PROSE, PROSE.upper(), "w " * 50 + PROSE]))
+    n_words = texts.words.counts
+    want = np.all([~r.rejects(texts, n_words) for r in quality.RULES], axis=0)
+    rng = random.Random(3)
+    for _ in range(5):
+        order = rng.sample(quality.RULES, len(quality.RULES))
+        assert (quality.passes(texts, n_words, order) == want).all()
+
+
+def test_planned_rules_are_all_there_and_costly_ones_late(spark):
+    slow = quality.Rule("slow", lambda texts, n: time.sleep(0.01) or _burn(len(texts)))
+    docs = documents(spark, [(i, PROSE.upper()) for i in range(50)])
+    planned = quality.plan(docs, (slow, *quality.RULES))
+    assert {r.name for r in planned} == {"slow", *(r.name for r in quality.RULES)}
+    names = [r.name for r in planned]
+    assert names[0] == "shouts"
+    assert len(quality.plan(docs.limit(0))) == len(quality.RULES)
+
+
+def _burn(n):
+    sum(range(300_000))
+    return np.zeros(n, dtype=bool)
+
+
+def test_quality_keeps_columns_and_rows(spark):
+    docs = documents(spark)
+    kept = quality.keep_good(docs)
+    assert kept.columns == docs.columns
+    reported = {r.doc_id for r in quality.quality_report(docs).where("kept").collect()}
+    assert set(ids_of(kept)) == reported == {6, 7, 8, None}
+    assert kept.where("doc_id = 6").count() == 2
+    assert quality.quality_report(docs.limit(0)).count() == quality.keep_good(docs.limit(0)).count() == 0
+
+
+# Secrets
+
+ASSIGN = re.compile(
+    r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A
+)
+
+
+def base_spans(text):
+    text = text or ""
+    found = [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
+    found += [(m.start(), m.end(), 1) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
+    found += [(m.start(), m.end(), 2) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
+    return sorted(found, key=lambda s: (s[0], s[2]))
+
+
+KEY = "q7Zt0PxLm3vRb9KsWd2Y"
+
+
+def secret_texts():
+    rng = random.Random(4)
+    parts = [
+        "token", "TOKEN", "to\u212aen", "pa\u017f\u017fword", "api_key", "ApiKey", "=", ":", " ", '"', "'", "é",
+        "AKIA", "ABCDEFGH12345678", "0123456789abcdef", "deadbeef" * 3, "abc", "abcdef", "\n", KEY,
+    ]
+    return ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(600)]
+
+
+def test_base_secrets_against_the_patterns(spark):
+    texts = secret_texts() + [t for _, t in ROWS]
+    rows = secrets.secret_report(documents(spark, list(enumerate(texts)))).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        want = base_spans(texts[row.doc_id])
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(sum(s[2] == k for s in want) for k in range(3))
+        told = ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, b, k in want)
+        assert row.base_sha256 == hashlib.sha256(told.encode()).hexdigest()
+        assert [s for s in row.spans.split(",") if s and not s.startswith("entropy")] == [s for s in told.split(",") if s]
+
+
+def test_windows_by_increments_are_those_by_count():
+    def entropy(text):
+        return -sum(n / len(text) * np.log2(n / len(text)) for n in Counter(text).values())
+
+    rng = random.Random(5)
+    for _ in range(200):
+        text = "".join(rng.choice("abcdefgh01" if rng.random() < 0.7 else "a") for _ in range(rng.randrange(20, 60)))
+        least = rng.choice([1.5, 2.0, 2.5, 2.8])
+        covered = set()
+        for i in range(len(text) - secrets.WINDOW + 1):
+            if entropy(text[i : i + secrets.WINDOW]) >= least - 1e-9:
+                covered |= set(range(i, i + secrets.WINDOW))
+        got = {i for a, b in secrets.high_windows(text, least) for i in range(a, b)}
+        assert got == covered
+
+
+def test_entropy_finds_keys_and_spares_words():
+    found = secrets.scan_texts(texts_of(pa.array([f"é key {KEY} end", "an" * 30, "some_long-dotted.name/of/words",
+                                                  "www.verylonghostname.example.com", "token = " + KEY])))
+    assert found[0] == [(6, 6 + len(KEY), 3)]
+    assert set(found) == {0, 4} and [s[2] for s in found[4]] == [0]
+
+
+def test_redaction(spark):
+    docs = documents(spark, [(1, f"a {KEY} b token={KEY}"), *ROWS])
+    done = secrets.redact(docs)
+    assert done.columns == docs.columns
+    rows = {(r.doc_id, r.text, r.n_chars) for r in done.collect()}
+    clean = f"a {secrets.MASK} b {secrets.MASK}"
+    assert (1, clean, len(clean)) in rows
+    assert {(i, t, None if t is None else len(t)) for i, t in ROWS} <= rows
+    assert secrets.redact(docs.limit(0)).count() == 0
+
+
+# Repeated bytes
+
+
+def cut_by_hand(rows):
+    first = {}
+    for i, text in sorted(((i, (t or "").encode()) for i, t in rows if i is not None)):
+        for k in range(len(text) - 49):
+            first.setdefault(text[k : k + 50], i)
+    found = []
+    for i, text in rows:
+        data = (text or "").encode()
+        gone = np.zeros(len(data), dtype=bool)
+        for k in range(len(data) - 49 if i is not None else 0):
+            if first[data[k : k + 50]] < i:
+                gone[k : k + 50] = True
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(int), [0]])))
+        kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
+        found.append((i, len(data), tuple(map(tuple, edges.reshape(-1, 2).tolist())), kept))
+    return Counter(found)
+
+
+@pytest.mark.parametrize("chunk, part", [(1 << 20, 1 << 23), (600, 700)])
+def test_repeats_against_brute_force(spark, monkeypatch, chunk, part):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", chunk)
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", part)
+    rng = random.Random(6)
+    shared = ["".join(rng.choice("abcé ") for _ in range(rng.randrange(45, 120))) for _ in range(6)]
+    rows = []
+    for i in rng.sample(range(1000), 60):
+        own = ["".join(rng.choice("abc ") for _ in range(rng.randrange(40))) for _ in range(3)]
+        rows.append((i, "".join(x for pair in zip(own, rng.choices(shared, k=3)) for x in pair)))
+    rows += [(i, t) for i, t in ROWS if t != LONG] + [(2000, "z" * 300), (2001, "z" * 70), (2002, "z" * 49)]
+    rows += [(2003, "\x00" * 60), (2004, "\x00" * 55), (5000, rows[0][1]), (5000, rows[0][1])]
+    done = suffix_dedup.remove_repeats(documents(spark, rows)).collect()
+    got = Counter(
+        (r.doc_id, r.n_bytes, tuple((s.start, s.end) for s in r.spans), bytes(r.kept)) for r in done
+    )
+    assert got == cut_by_hand(rows)
+
+
+def test_merged_transforms_are_sorted_and_their_intervals_exact():
+    rng = random.Random(7)
+    for shards in (1, 2, 3, 4):
+        texts = [bytes(rng.choice(b"ab") for _ in range(rng.randrange(50, 90))) for _ in range(6)]
+        texts[3] = texts[0][:60]
+        data = np.frombuffer(b"".join(t + b"\0" for t in texts), np.uint8)
+        start = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+        place, interval = suffix_dedup.repeated_intervals(data, start, shards)
+        assert sorted(place.tolist()) == list(range(len(data)))
+
+        def turned(p):
+            i = int(np.searchsorted(start, p, side="right")) - 1
+            own = data[start[i] : start[i + 1]].tobytes() * 2
+            return own[p - start[i] :][:50]
+
+        keys = [turned(p) for p in place]
+        assert keys == sorted(keys)
+        same = [a == b for a, b in zip(keys, keys[1:])]
+        assert same == (interval[1:] == interval[:-1]).tolist()
+
+
+def test_no_documents_repeat_nothing(spark):
+    assert suffix_dedup.remove_repeats(documents(spark).limit(0)).count() == 0
+
+
+# HTML
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (None, ""),
+        ("", ""),
+        ("a < b &amp; c", "a < b & c"),
+        ("<p>a<b>b<p>c  d<br>e<div>f</div>g", "ab\n\nc d\ne\n\nf\ng"),
+        ("<ul><li>one<li>two<ol start=3><li>x<li>y</ol><li>three</ul>z", "- one\n- two\n  3. x\n  4. y\n- three\n\nz"),
+        (
+            "<table><tr><th>Name<th>N<tr><td>abc<td>1<tr><td rowspan=2>r<td>2<tr><td>3</table>end",
+            "Name  N\nabc   1\nr     2\n      3\n\nend",
+        ),
+        ("<table><tr><td>漢字<td>1<tr><td>abc<td>2</table>", "漢字  1\nabc   2"),
+        ("<title>t</title><script>var a='</p>';</script><!-- c --><p hidden>h<p style='display:none'>n<p>v", "v"),
+        ("<pre>a\n  b\n</pre>c", "a\n  b\n\nc"),
+        ("<details><summary>s</summary>h</details><details open><summary>t</summary>i</details>", "s\nt\ni"),
+        ("</p></div>x<a href='a>b'>l</a></li>", "xl"),
+        ("<table><tr><td>a<p>b</p><ul><li>c</ul><td>d</table>", "a    d\n\nb\n\n- c"),
+    ],
+)
+def test_rendering(html, text):
+    assert html_text.visible_text(html) == text
+
+
+def test_deep_and_broken_pages_end():
+    assert html_text.visible_text("<div>" * 30_000 + "x") == "x"
+    for bad in ("<a " * 20_000, "<p><li></b>" * 10_000, "<" * 50_000, '<a "' * 10_000):
+        begun = time.process_time()
+        html_text.visible_text(bad)
+        assert time.process_time() - begun < 20
+
+
+def test_pages(spark):
+    pages = spark.createDataFrame([(1, None, "c"), (2, "<p>x", "c"), (2, "<p>x", "c")], "page_id long, html string, text string")
+    got = sorted((r.page_id, r.text) for r in html_text.page_texts(pages).collect())
+    assert got == [(1, ""), (2, "x"), (2, "x")]
+    assert html_text.page_texts(pages.limit(0)).count() == 0
+
+
+# Pieces
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    with open(pieces.MODEL_FILE, "rb") as file:
+        return pieces.read_vocabulary(file.read())
+
+
+def all_segmentations(text, vocabulary):
+    chunk = b" " + text.encode()
+    into = pieces.arcs_into(chunk, vocabulary)
+    found = []
+
+    def back(at, score):
+        if at == 0:
+            found.append(score)
+        for start, _, gain in into[at]:
+            back(start, score + gain)
+
+    back(len(chunk), 0.0)
+    return sorted(found, reverse=True)
+
+
+@pytest.mark.parametrize("text", ["a", "hello", "  a b", "x\ny", "é ▁ñ", "a b a b", "token", "\x00漢a"])
+def test_n_best_against_all_segmentations(vocabulary, text):
+    encoder = pieces.Encoder(vocabulary, 5)
+    ((ids, scores),) = encoder.encode(texts_of(pa.array([text])))
+    want = all_segmentations(text, vocabulary)
+    assert scores == want[:5]
+    assert encoder.decode(ids.tolist()).decode() == text
+    spelled = [vocabulary.scores[i] for i in ids if i >= 259]
+    if len(spelled) == len(ids):
+        assert sum(spelled) == scores[0]
+
+
+def test_chunks_together_and_alone_agree(vocabulary):
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("ethaonsé ") for _ in range(rng.randrange(9))) for _ in range(40)) for _ in range(20)]
+    texts.append("x" * 500 + " " + "the" * 80)  # chunks beyond the longest
+    encoder = pieces.Encoder(vocabulary)
+    for text, (ids, scores) in zip(texts, encoder.encode(texts_of(pa.array(texts)))):
+        ((score, alone),) = pieces.n_best(b" " + text.encode(), vocabulary, 1)
+        assert (scores[0], len(ids)) == (score, len(alone))
+        assert encoder.decode(ids.tolist()).decode() == text
+
+
+def test_encoding_and_decoding(spark):
+    docs = documents(spark)
+    done = pieces.encode(docs)
+    assert ids_of(done) == ALL_IDS
+    assert done.where("not decoded").count() == 0
+    back = sorted((r.doc_id or 0, r.text) for r in pieces.decode(done.select("doc_id", "ids")).collect())
+    assert back == sorted((i or 0, t or "") for i, t in ROWS)
+    empty = done.where("doc_id in (1, 2)").collect()
+    assert [(r.n_pieces, r.scores) for r in empty] == [(0, [0.0])] * 2
+    assert pieces.encode(docs.limit(0)).count() == 0
+
+
+# Toxicity
+
+
+def toxic_texts(rng, n):
+    plain = ["".join(rng.choice("aeinrst") for _ in range(5)) for _ in range(60)]
+    rows, labels = [], []
+    for i in range(n):
+        words = rng.choices(plain, k=rng.randrange(5, 120))
+        toxic = i % 3 == 0
+        if toxic:
+            words[rng.randrange(len(words))] = rng.choice(["grumk", "zorbly" + rng.choice(plain)])
+        rows.append((i, " ".join(words)))
+        labels.append((i, 1, int(toxic)))
+    return rows, labels
+
+
+def test_toxicity_learns_what_it_was_not_shown(spark):
+    rows, labels = toxic_texts(random.Random(9), 900)
+    docs = documents(spark, rows)
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    truth = {i: t for i, _, t in labels}
+    found = toxicity.toxicity(docs, model).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in found)
+    assert all(r.predicted == int(r.score >= 0.3) and 0 <= r.score <= 1 for r in found)
+    held = [r.predicted == truth[r.doc_id] for r in found if r.held_out]
+    assert len(held) > 150 and np.mean(held) > 0.95
+
+
+def test_toxicity_of_awkward_texts(spark):
+    rows, labels = toxic_texts(random.Random(10), 60)
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(documents(spark, rows), table)
+    docs = documents(spark)
+    scored = toxicity.toxicity(docs, model)
+    assert ids_of(scored) == ALL_IDS
+    assert all(0 <= r.score <= 1 for r in scored.collect())
+    assert {r.predicted for r in scored.where("doc_id in (1, 2, 3)").collect()} == {0}
+    assert toxicity.toxicity(docs.limit(0), model).count() == 0
+    unlabelled = toxicity.fit(docs, table.limit(0))
+    assert toxicity.toxicity(docs, unlabelled).where("predicted = 1").count() == 0
+
+
+def test_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(0)
+    params = {k: v.astype(np.float64) for k, v in toxicity.new_params().items()}
+    params["embed"] *= 10
+    rows = np.vstack([rng.integers(1, toxicity.ROWS, (50, 5)), np.zeros((1, 5), int)]).astype(np.int32)
+    source = rng.integers(0, 51, (toxicity.WINDOW, 6))
+    source[0] = 1
+    label = np.array([0.0, 1, 0, 1, 1, 0])
+
+    def loss():
+        logit = toxicity.logits(params, toxicity.embedded(params, rows), source)
+        return np.mean(np.log1p(np.exp(logit)) - label * logit)
+
+    for name, slope in toxicity._learn(params, rows, source, label).items():
+        at = np.unravel_index(np.argmax(np.abs(slope)), slope.shape)
+        held, step = params[name][at], 1e-3
+        params[name][at] = held + step
+        above = loss()
+        params[name][at] = held - step
+        below = loss()
+        params[name][at] = held
+        assert slope[at] == pytest.approx((above - below) / (2 * step), rel=1e-3)
+
+
+def test_all_words_are_in_windows():
+    counts = np.array([0, 1, 31, 32, 33, 48, 49, 500])
+    text_of, at = toxicity.window_starts(counts)
+    for i, n in enumerate(counts):
+        seen = {k for a in at[text_of == i] for k in range(a, min(a + toxicity.WINDOW, n))}
+        assert seen == set(range(n))
