@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harbor import jobs
 from harbor.functions import bitstring as B
 from harbor.functions.readings import navigation_status
 from harbor.operators import conform, decode, ingest, reassemble, static_reports
@@ -367,6 +368,43 @@ def compare_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumn("max_difference", F.round("max_difference", 6))
 
 
+CHAIN_NAMES = {
+    "radio_status": "number",
+    "mmsi": "mmsi",
+    "speed_over_ground": "sog",
+    "longitude": "x",
+}
+
+
+def conformance_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A checked CSV table, its raw lines rebuilt, decoded, renamed and compared."""
+    path = L.shared_folder(spark) + "/checked_lines"
+    event, speed = F.col("event_id"), F.col("speed_raw")
+    sog = F.when(speed != 1023, speed / F.lit(10.0))
+    L.spoilt_events(spark, sf_dir).select(
+        F.col("radio_raw").alias("number"),
+        F.col("mmsi_raw").alias("mmsi"),
+        F.when(event % 11 == 0, sog + 0.01).otherwise(sog).alias("sog"),
+        (F.col("lon_raw") / F.lit(600000.0)).alias("x"),
+        F.col("value").alias("rawInput"),
+    ).write.option("header", True).option("escape", '"').csv(path)
+    report = jobs.compared(
+        read_checked(spark, path, "number int, mmsi int, sog double, x double, rawInput string"),
+        "123",
+        CHAIN_NAMES,
+        ["number", "mmsi"],
+        {"sog": 1e-3, "x": 1e-9},
+        extras=True,
+    )
+    return report.withColumn("max_difference", F.round("max_difference", 6))
+
+
+def strict_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = IngestRules(strict_alphabet=True)
+    rows = ingest.read_sentences(L.event_lines(spark, sf_dir), rules)
+    return with_epoch(rows).select("data", "port_mmsi", "epoch")
+
+
 def compare_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     keep = ["number", "epoch", "mmsi"]
     return conform.different_rows(
@@ -448,6 +486,8 @@ QUERIES: dict[str, Query] = {
         rebuild_unchecked,
         rename_select,
         compare_tables,
+        conformance_chain,
+        strict_sentences,
         compare_rows,
         null_rules,
         text_rules,

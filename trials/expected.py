@@ -541,6 +541,24 @@ FROM s""",
     "rename_select": f"""WITH {EVENTS}, d AS (SELECT {EVENT_READINGS} FROM e)
 SELECT {", ".join(f"{old} AS {new}" for old, new in NEW_NAMES.items())} FROM d""",
     "compare_tables": COMPARE,
+    "conformance_chain": f"""WITH {EVENTS},
+k AS (
+  SELECT {D.SPOILT_PASSES} AS kept, event_id % 11 = 0 AND speed_raw <> 1023 AS off,
+    speed_raw::DOUBLE / 10.0::DOUBLE AS sog, speed_raw <> 1023 AS known
+  FROM e
+)
+SELECT 'sog' AS "column", count(*) FILTER (kept)::BIGINT AS n_rows,
+  count(*) FILTER (kept AND off)::BIGINT AS n_different,
+  round(max(CASE WHEN off THEN abs(sog + 0.01::DOUBLE - sog) ELSE 0 END)
+    FILTER (kept AND known), 6) AS max_difference FROM k
+UNION ALL SELECT 'x', count(*) FILTER (kept)::BIGINT, 0::BIGINT, 0::DOUBLE FROM k
+UNION ALL SELECT '(left only)', 0::BIGINT, 0::BIGINT, NULL
+UNION ALL SELECT '(right only)', count(*) FILTER (NOT kept)::BIGINT,
+  count(*) FILTER (NOT kept)::BIGINT, NULL FROM k
+UNION ALL SELECT '(ambiguous)', 0::BIGINT, 0::BIGINT, NULL""",
+    "strict_sentences": f"""WITH {EVENTS_PACKED}
+SELECT data, ({D.EVENT_STATION})::INTEGER AS port_mmsi, epoch::BIGINT AS epoch FROM p
+WHERE regexp_full_match(data, '[0-W`-w]+')""",
     "compare_rows": f"""WITH {CHECKED}, l AS (SELECT number, epoch, mmsi FROM k),
 r AS (SELECT number, epoch, mmsi FROM m)
 SELECT *, 'left' AS side FROM (SELECT * FROM l EXCEPT SELECT * FROM r)

@@ -69,8 +69,12 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(events(spark, sf_dir))
 
 
+def spoilt_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).withColumn("value", _expr(D.SPOILT))
+
+
 def spoilt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored(events(spark, sf_dir).select(_expr(D.SPOILT).alias("value")))
+    return stored(spoilt_events(spark, sf_dir).select("value"))
 
 
 def faulty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
