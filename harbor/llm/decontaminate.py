@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harbor.llm.texts import Texts, mix, slices, texts_of
+from harbor.llm.texts import Texts, map_texts, mix, slices, texts_of
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -113,7 +113,7 @@ def item_table(items: DataFrame) -> DataFrame:
                 names=schema.names,
             )
 
-    return items.select("item_id", "text").mapInArrow(made, schema)
+    return map_texts(items.select("item_id", "text"), made, schema)
 
 
 def _said(texts: Texts, a: int, b: int) -> str:
@@ -212,7 +212,7 @@ def windows(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
                     names=schema.names,
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(made, schema)
+    return map_texts(docs.select("doc_id", "text"), made, schema)
 
 
 def _blocks(frame: DataFrame, fp: str) -> DataFrame:

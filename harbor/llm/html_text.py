@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from harbor.llm.texts import slices
+from harbor.llm.texts import map_texts, slices
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements whose content is text up to their own end tag; that of the last two
@@ -425,4 +425,4 @@ def page_texts(pages: DataFrame) -> DataFrame:
                 [batch.column("page_id"), pa.array(texts, pa.string())], names=schema.names
             )
 
-    return pages.select("page_id", "html").mapInArrow(rendered, schema)
+    return map_texts(pages.select("page_id", "html"), rendered, schema)

@@ -27,7 +27,7 @@ from harbor.llm import golay
 from harbor.llm.components import components
 from harbor.llm.simhash import fingerprint_texts
 from harbor.llm.storage import stored
-from harbor.llm.texts import slices
+from harbor.llm.texts import map_texts, slices
 
 #: Largest number of differing bits at which fingerprints link.
 RADIUS = 2
@@ -54,7 +54,7 @@ def with_fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
                 [batch.column("doc_id"), pa.array(prints.view(np.int64))], names=schema.names
             )
 
-    return docs.select("doc_id", "text").mapInArrow(made, schema)
+    return map_texts(docs.select("doc_id", "text"), made, schema)
 
 
 def fuzzy_keys(nodes: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ def fuzzy_keys(nodes: DataFrame) -> DataFrame:
                     [pa.array(whole.view(np.int64)), pa.array(prints[row])], names=["key", "fp"]
                 )
 
-    return nodes.select("fp").mapInArrow(made, "key long, fp long")
+    return map_texts(nodes.select("fp"), made, "key long, fp long")
 
 
 def links(nodes: DataFrame, paired: int = PAIRED) -> DataFrame:

@@ -30,14 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harbor.llm.texts import Texts, slices, texts_of
+from harbor.llm.texts import Texts, map_texts, slices, texts_of
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 N_BEST = 3
 
 #: Bytes of text segmented together, and most chunks a task remembers.
 TOGETHER = 1 << 19
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 #: Longer chunks are segmented one by one.
 LONGEST = 64
 
@@ -464,7 +464,7 @@ def encode(
                 [columns[name] for name in schema.names], names=schema.names
             )
 
-    return docs.select("doc_id", "text").mapInArrow(encoded, schema)
+    return map_texts(docs.select("doc_id", "text"), encoded, schema)
 
 
 def decode(encoded: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harbor.llm.texts import SPACE, Texts, slices, texts_of
+from harbor.llm.texts import SPACE, Texts, map_texts, slices, texts_of
 
 # Base rule: at least so many words; at most so many hundredths of them in
 # windows of so many words that the text holds twice.
@@ -191,7 +191,7 @@ def plan(docs: DataFrame, rules: Sequence[Rule] = RULES, rows: int = SAMPLE_ROWS
     total = docs.count()
     sample = docs.select("text").sample(min(1.0, rows / max(total, 1)), seed=3)
     found = (
-        sample.mapInArrow(trial, "rule string, rejected double, spent double")
+        map_texts(sample, trial, "rule string, rejected double, spent double")
         .groupBy("rule")
         .agg(F.sum("rejected").alias("rejected"), F.sum("spent").alias("spent"))
         .collect()
@@ -224,7 +224,7 @@ def quality_report(docs: DataFrame, rules: Sequence[Rule] | None = None) -> Data
                 [batch.column("doc_id"), *columns, *flags], names=schema.names
             )
 
-    return docs.select("doc_id", "text").mapInArrow(report, schema)
+    return map_texts(docs.select("doc_id", "text"), report, schema)
 
 
 def keep_good(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
@@ -236,4 +236,4 @@ def keep_good(docs: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame
             _, kept = judge(texts_of(batch.column("text")), rules)
             yield batch.filter(pa.array(kept))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_texts(docs, keep, docs.schema)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from harbor.llm.texts import Texts, slices, texts_of
+from harbor.llm.texts import Texts, map_texts, slices, texts_of
 
 KINDS = ("assign", "access", "hex", "entropy")
 
@@ -215,7 +215,7 @@ def secret_report(docs: DataFrame) -> DataFrame:
                 names=schema.names,
             )
 
-    return docs.select("doc_id", "text").mapInArrow(report, schema)
+    return map_texts(docs.select("doc_id", "text"), report, schema)
 
 
 def mask(text: str, spans: list[Span]) -> str:
@@ -254,4 +254,4 @@ def redact(docs: DataFrame) -> DataFrame:
                 columns["n_chars"] = pa.array(sizes, batch.schema.field("n_chars").type)
             yield pa.RecordBatch.from_arrays([columns[n] for n in names], schema=batch.schema)
 
-    return docs.mapInArrow(masked, docs.schema)
+    return map_texts(docs, masked, docs.schema)

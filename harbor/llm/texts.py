@@ -7,18 +7,24 @@ no Python object is made per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 # Bytes of text looked at together.  It bounds the arrays, not the rows: a
 # longer text is a slice by itself.
 SLICE_BYTES = 1 << 18
 
+#: Bytes of rows sent to a task's Python at a time.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -170,6 +176,20 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(held, offsets - offsets[0])
 
 
+def map_texts(frame: DataFrame, function: Callable, schema: str | StructType) -> DataFrame:
+    """``frame.mapInArrow``, a few megabytes of rows at a time.
+
+    Batches are cut by rows otherwise, and with long texts hold tens of
+    megabytes, several times over.  A session that allows batches larger than
+    ``BATCH_BYTES`` is set to that; it changes no result.
+    """
+    conf = frame.sparkSession.conf
+    allowed = conf.get(_BATCH_SETTING).rstrip("b")
+    if allowed.lstrip("-").isdigit() and not 0 < int(allowed) <= BATCH_BYTES:
+        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    return frame.mapInArrow(function, schema)
+
+
 def slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from harbor.llm.texts import SLICE_BYTES, Texts, Words, slices, texts_of
+from harbor.llm.texts import SLICE_BYTES, Texts, Words, map_texts, slices, texts_of
 
 WINDOW, STRIDE = 32, 16
 ROWS, WIDTH, HIDDEN, ATTENTION = 1 << 15, 16, 8, 8
@@ -421,7 +421,7 @@ def toxicity(docs: DataFrame, model: Model) -> DataFrame:
                 [batch.column("doc_id"), pa.array(score, pa.float64())], names=schema.names
             )
 
-    done = docs.select("doc_id", "text").mapInArrow(scored, schema)
+    done = map_texts(docs.select("doc_id", "text"), scored, schema)
     return done.select(
         "doc_id",
         is_held_out().alias("held_out"),
