@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as contract
@@ -10,6 +11,7 @@ import corpus_pipeline
 from harbor.llm import decontaminate, near_dedup, pieces, quality, secrets
 from harbor.llm.expected import SQL
 from harbor.llm.queries import QUERIES
+from harbor.llm.texts import texts_of
 from tests.llm.frames import ALL_IDS, ROWS, TABLES, documents, ids_of, needs_tables
 from trials.check import canonical, duck
 
@@ -54,9 +56,7 @@ def stages_by_hand(spark, docs):
     bench = spark.read.parquet(f"{TABLES}/benchmark.parquet")
     leaking = {r.doc_id for r in decontaminate.leaks(docs, bench).collect()}
     rows = [r for r in docs.collect() if r.doc_id not in leaking]
-    spans = secrets.scan_texts(
-        secrets.texts_of(__import__("pyarrow").array([r.text for r in rows]))
-    )
+    spans = secrets.scan_texts(texts_of(pa.array([r.text for r in rows])))
     return {r.doc_id: secrets.mask(r.text, spans.get(i, [])) for i, r in enumerate(rows)}
 
 
