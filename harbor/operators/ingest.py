@@ -296,7 +296,9 @@ def with_failed_sum(left_out: DataFrame, rules: IngestRules = DEFAULT_RULES) ->
     failed = F.when(
         F.col("outcome") == "checksum", failed_sum(F.col("value"), rules.require_meta)
     )
-    return left_out.withColumn("__failed", failed).select(
+    # Through an array of one, or it would be computed for each of its fields.
+    told = left_out.select("*", F.explode(F.array(failed)).alias("__failed"))
+    return told.select(
         *left_out.columns, "__failed.segment", "__failed.claimed", "__failed.computed"
     )
 
