@@ -85,6 +85,10 @@ class Vocabulary:
     def longest(self) -> int:
         return max(map(len, self.pieces))
 
+    @cached_property
+    def listed_scores(self) -> list[float]:
+        return self.scores.tolist()
+
 
 def read_vocabulary(model: bytes) -> Vocabulary:
     """From the bytes of a model file; unused, control and unknown pieces left out."""
@@ -122,7 +126,7 @@ def arcs_into(chunk: bytes, vocabulary: Vocabulary) -> list[list[tuple[int, int,
         for end in range(start + 1, min(len(chunk), start + vocabulary.longest) + 1):
             piece = vocabulary.pieces.get(chunk[start:end])
             if piece is not None:
-                into[end].append((start, piece, float(vocabulary.scores[piece])))
+                into[end].append((start, piece, vocabulary.listed_scores[piece]))
         if chunk[start : start + width] not in vocabulary.pieces:
             into[start + width].append((start, _BYTES, vocabulary.unknown_score))
         start += width
@@ -137,34 +141,79 @@ def forward(into: list[list[tuple[int, int, float]]]) -> list[float]:
     return best
 
 
+class _Path:
+    """A way from a place to the chunk's end: its first arc and the way after it.
+
+    ``leap`` is a way further on, so that two ways are compared in a number of
+    steps that grows with the logarithm of their lengths.
+    """
+
+    __slots__ = ("start", "piece", "after", "depth", "leap")
+
+    def __init__(self, start: int, piece: int, after: _Path | None):
+        self.start, self.piece, self.after = start, piece, after
+        if after is None:
+            self.depth, self.leap = 0, self
+            return
+        self.depth = after.depth + 1
+        far = after.leap
+        even = after.depth - far.depth == far.depth - far.leap.depth
+        self.leap = far.leap if even else after
+
+    def _at_depth(self, depth: int) -> _Path:
+        path = self
+        while path.depth > depth:
+            path = path.leap if path.leap.depth >= depth else path.after
+        return path
+
+    def __lt__(self, other: _Path) -> bool:
+        """Whether the arcs, the last first, begin earlier where they first differ."""
+        depth = min(self.depth, other.depth)
+        one, two = self._at_depth(depth), other._at_depth(depth)
+        if one is two:
+            return self.depth < other.depth
+        while one.after is not two.after:
+            one, two = (one.leap, two.leap) if one.leap is not two.leap else (one.after, two.after)
+        return one.start < two.start
+
+
+def _spelled(path: _Path, chunk: bytes, vocabulary: Vocabulary) -> list[int]:
+    """The ids of a way from the chunk's beginning."""
+    ids: list[int] = []
+    while path.after is not None:
+        if path.piece == _BYTES:
+            ids += vocabulary.byte_ids[list(chunk[path.start : path.after.start])].tolist()
+        else:
+            ids.append(path.piece)
+        path = path.after
+    return ids
+
+
 def n_best(chunk: bytes, vocabulary: Vocabulary, n: int) -> list[tuple[float, list[int]]]:
     """The ``n`` best segmentations of a chunk, best first, as score and ids.
 
-    Of equal scores the one whose last pieces are longer comes first.
+    Of equal scores the one whose last pieces are longer comes first.  Ways
+    share what follows, and no place is left more than ``n`` times, so time and
+    memory grow with the length of the chunk.
     """
     into = arcs_into(chunk, vocabulary)
     best = forward(into)
-    queue = [(-best[-1], (), len(chunk), 0.0, ())]
+    queue = [(-best[-1], _Path(len(chunk), _BYTES, None), 0.0)]
+    left = [0] * (len(chunk) + 1)
     found = []
     while queue and len(found) < n:
-        _, starts, at, behind, ids = heapq.heappop(queue)
+        _, path, behind = heapq.heappop(queue)
+        at = path.start
         if at == 0:
-            spelled = [
-                i
-                for s, e, piece in zip(starts[::-1], [*starts[::-1][1:], len(chunk)], ids[::-1])
-                for i in (
-                    vocabulary.byte_ids[list(chunk[s:e])].tolist() if piece == _BYTES else [piece]
-                )
-            ]
-            found.append((behind, spelled))
+            found.append((behind, _spelled(path, chunk, vocabulary)))
             continue
+        if left[at] == n:
+            continue
+        left[at] += 1
         for start, piece, score in into[at]:
-            total = behind + score
-            if best[start] > -np.inf:
-                heapq.heappush(
-                    queue,
-                    (-(best[start] + total), (*starts, start), start, total, (*ids, piece)),
-                )
+            if left[start] < n and best[start] > -np.inf:
+                total = behind + score
+                heapq.heappush(queue, (-(best[start] + total), _Path(start, piece, path), total))
     return found
 
 
@@ -323,7 +372,7 @@ class Encoder:
         return self.lists[chunk]
 
     def _long(self, texts: Texts, start: int, end: int) -> Segmented:
-        lists = n_best(texts.data[start:end].tobytes(), self.vocabulary, 2)
+        lists = self._n_best(texts.data[start:end].tobytes())
         (score, ids), loss = lists[0], np.inf
         if len(lists) > 1:
             loss = score - lists[1][0]

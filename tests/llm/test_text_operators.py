@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import random
 import re
+import string
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -312,6 +315,58 @@ def test_chunks_together_and_alone_agree(vocabulary):
         assert encoder.decode(ids.tolist()).decode() == text
 
 
+def n_best_by_whole_paths(chunk, vocabulary, n):
+    """The same search with every path spelled out in the queue."""
+    into = pieces.arcs_into(chunk, vocabulary)
+    best = pieces.forward(into)
+    queue, found = [(-best[-1], (), len(chunk), 0.0, ())], []
+    while queue and len(found) < n:
+        _, starts, at, behind, ids = heapq.heappop(queue)
+        if at == 0:
+            found.append((behind, starts[::-1]))
+        for start, piece, score in into[at]:
+            total = behind + score
+            heapq.heappush(queue, (-(best[start] + total), (*starts, start), start, total, (*ids, piece)))
+    return found
+
+
+def test_ties_fall_as_with_whole_paths(vocabulary):
+    rng = random.Random(12)
+    chunks = ["x" * k for k in range(1, 24)] + ["=" * 40, "aaaa" * 8, "abab" * 9]
+    chunks += ["".join(rng.choice("aetxé漢0") for _ in range(rng.randrange(1, 30))) for _ in range(80)]
+    for chunk in chunks:
+        raw = (" " + chunk).encode()
+        starts = []
+        got = pieces.n_best(raw, vocabulary, 5)
+        for score, ids in got:
+            assert b"".join(vocabulary.spelled[i] for i in ids) == raw
+            at = np.cumsum([0, *(len(vocabulary.spelled[i]) for i in ids)])[:-1].tolist()
+            starts.append((score, tuple(a for a in at if raw[a] & 0xC0 != 0x80)))
+        want = [(s, tuple(a for a in p if raw[a] & 0xC0 != 0x80)) for s, p in n_best_by_whole_paths(raw, vocabulary, 5)]
+        assert starts == want
+
+
+def test_runs_of_several_hundred_thousand_characters(vocabulary):
+    rng = random.Random(13)
+    letters = string.ascii_letters + string.digits + "+/"
+    for kinds, n in ((letters, 300_000), ("的一是不了人我在有他这为之大来以个中上们", 200_000), ("x", 100_000)):
+        text = "".join(rng.choice(kinds) for _ in range(n))
+        encoder = pieces.Encoder(vocabulary)
+        ((ids, scores),) = encoder.encode(texts_of(pa.array([text])))
+        assert encoder.decode(ids.tolist()).decode() == text
+        assert len(scores) == 3 and scores == sorted(scores, reverse=True)
+
+
+def test_memory_grows_with_the_length_of_a_chunk(vocabulary):
+    rng = random.Random(14)
+    text = "".join(rng.choice(string.ascii_letters) for _ in range(20_000)).encode()
+    tracemalloc.start()
+    pieces.n_best(text, vocabulary, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20
+
+
 def test_encoding_and_decoding(spark):
     docs = documents(spark)
     done = pieces.encode(docs)
