@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from harbor.llm.texts import Texts, map_texts, slices, texts_of
 
@@ -356,6 +357,19 @@ def _chunks(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return edges[:-1], edges[1:]
 
 
+#: Place among the best ids, how many of them go, and what comes instead.
+Change = tuple[int, int, list[int]]
+
+
+def changed_ids(ids: np.ndarray, changes: list[Change]) -> np.ndarray:
+    """The ids of a segmentation from the best one's, changes in order of their place."""
+    parts, done = [], 0
+    for at, n, new in changes:
+        parts += [ids[done:at], np.array(new, ids.dtype)]
+        done = at + n
+    return np.concatenate([*parts, ids[done:]])
+
+
 class Encoder:
     """Segments texts; remembers chunks from one call to the next."""
 
@@ -405,10 +419,19 @@ class Encoder:
         """For each text the ids of its best segmentation and the N best scores."""
         return [(ids, [s for s, _ in best]) for ids, best in self.encode_n_best(texts)]
 
+    def spells_the_same(self, ids: np.ndarray, changes: list[Change]) -> bool:
+        """Whether changes leave the text that ``ids`` decode to."""
+        spelled = self.vocabulary.spelled
+        return all(
+            b"".join([spelled[i] for i in ids[at : at + n].tolist()])
+            == b"".join([spelled[i] for i in new])
+            for at, n, new in changes
+        )
+
     def encode_n_best(
         self, texts: Texts
-    ) -> list[tuple[np.ndarray, list[tuple[float, dict[int, list[int]]]]]]:
-        """The best ids, and of the N best the score and what differs, by chunk number."""
+    ) -> list[tuple[np.ndarray, list[tuple[float, list[Change]]]]]:
+        """The best ids, and of each of the N best the score and its changes to them."""
         texts = _with_space(texts)
         start, end = _chunks(texts)
         self._learn(texts, start, end)
@@ -428,7 +451,17 @@ class Encoder:
             lists = {
                 k: self._n_best(texts.data[start[a + k] : end[a + k]].tobytes()) for k in few
             }
-            found.append((ids[edges[a] : edges[b]], _merged(whole, lists, self.n)))
+            ranked = [
+                (
+                    score,
+                    [
+                        (int(edges[a + k] - edges[a]), int(count[a + k]), new)
+                        for k, new in sorted(changed.items())
+                    ],
+                )
+                for score, changed in _merged(whole, lists, self.n)
+            ]
+            found.append((ids[edges[a] : edges[b]], ranked))
         return found
 
     def decode(self, ids: list[int]) -> bytes:
@@ -458,6 +491,20 @@ def _merged(
     return found
 
 
+#: A ``Change`` as a column.
+CHANGE = T.StructType(
+    [
+        T.StructField("at", T.IntegerType()),
+        T.StructField("n_gone", T.IntegerType()),
+        T.StructField("ids", T.ArrayType(T.IntegerType())),
+    ]
+)
+
+
+def _digest(ids: np.ndarray) -> str:
+    return hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest()
+
+
 def _model_bytes(path: str) -> bytes:
     with open(path, "rb") as file:
         return file.read()
@@ -466,14 +513,18 @@ def _model_bytes(path: str) -> bytes:
 def encode(
     docs: DataFrame, model_file: str = MODEL_FILE, n: int = N_BEST, keep_ids: bool = True
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, ids, n_pieces, ids_sha256, scores, decoded``.
-
-    ``ids`` is the best segmentation of the whole text (left out with
-    ``keep_ids=False``), ``ids_sha256`` the digest of them as 32-bit numbers,
-    low byte first, ``scores`` the scores of the ``n`` best, best first, and
-    ``decoded`` whether the ids decode to the text.  Null and empty texts have
-    no pieces and the one score 0.  Repeated rows are encoded each, other
-    columns are ignored, and an empty table gives an empty result.
+    """One row per row of ``docs``: ``doc_id, ids, n_pieces, ids_sha256, scores, decoded``
+    and ``others, n_best_sha256``.
+
+    ``ids`` is the best segmentation of the whole text, ``others`` the rest of
+    the ``n`` best, each as the runs ``at, n_gone, ids`` in which it differs
+    from ``ids`` (``decode`` puts them in); both are left out with
+    ``keep_ids=False``.  ``ids_sha256`` is the digest of the best as 32-bit
+    numbers, low byte first, ``n_best_sha256`` that of each of the ``n`` best
+    and ``scores`` their scores, best first, and ``decoded`` tells whether all
+    of them decode to the text.  Null and empty texts have no pieces and the
+    one score 0.  Repeated rows are encoded each, other columns are ignored,
+    and an empty table gives an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(_model_bytes(model_file))
     fields = [
@@ -483,25 +534,31 @@ def encode(
         T.StructField("ids_sha256", T.StringType()),
         T.StructField("scores", T.ArrayType(T.DoubleType())),
         T.StructField("decoded", T.BooleanType()),
+        T.StructField("others", T.ArrayType(T.ArrayType(CHANGE))),
+        T.StructField("n_best_sha256", T.ArrayType(T.StringType())),
     ]
-    schema = T.StructType([f for f in fields if keep_ids or f.name != "ids"])
+    schema = T.StructType([f for f in fields if keep_ids or f.name not in ("ids", "others")])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(read_vocabulary(sent.value), n)
         for batch in slices(batches, limit=TOGETHER):
             texts = texts_of(batch.column("text"))
-            rows = encoder.encode(texts)
+            rows = encoder.encode_n_best(texts)
             whole = texts.data.tobytes()
             digests, same = [], []
-            for (ids, _), a, b in zip(rows, texts.offsets[:-1], texts.offsets[1:]):
-                digests.append(hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest())
-                same.append(encoder.decode(ids.tolist()) == whole[a:b])
+            for (ids, ranked), a, b in zip(rows, texts.offsets[:-1], texts.offsets[1:]):
+                digests.append([_digest(changed_ids(ids, changes)) for _, changes in ranked])
+                same.append(
+                    encoder.decode(ids.tolist()) == whole[a:b]
+                    and all(encoder.spells_the_same(ids, changes) for _, changes in ranked)
+                )
             columns = {
                 "doc_id": batch.column("doc_id"),
                 "n_pieces": pa.array([len(ids) for ids, _ in rows], pa.int64()),
-                "ids_sha256": pa.array(digests, pa.string()),
-                "scores": pa.array([s for _, s in rows], pa.list_(pa.float64())),
+                "ids_sha256": pa.array([d[0] for d in digests], pa.string()),
+                "scores": pa.array([[s for s, _ in best] for _, best in rows], pa.list_(pa.float64())),
                 "decoded": pa.array(same, pa.bool_()),
+                "n_best_sha256": pa.array(digests, pa.list_(pa.string())),
             }
             if keep_ids:
                 edges = np.cumsum([0, *(len(ids) for ids, _ in rows)])
@@ -509,6 +566,13 @@ def encode(
                     pa.array(edges, pa.int32()),
                     pa.array(np.concatenate([np.zeros(0, np.int32), *(ids for ids, _ in rows)])),
                 )
+                columns["others"] = pa.array(
+                    [
+                        [[dict(zip(CHANGE.names, c)) for c in changes] for _, changes in best[1:]]
+                        for _, best in rows
+                    ],
+                    to_arrow_type(fields[-2].dataType),
+                )
             yield pa.RecordBatch.from_arrays(
                 [columns[name] for name in schema.names], names=schema.names
             )
@@ -516,8 +580,12 @@ def encode(
     return map_texts(docs.select("doc_id", "text"), encoded, schema)
 
 
-def decode(encoded: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
-    """``text`` from ``ids`` in place of that column; null and no ids give an empty text."""
+def decode(encoded: DataFrame, model_file: str = MODEL_FILE, rank: int = 0) -> DataFrame:
+    """``text`` from ``ids`` in place of that column; null and no ids give an empty text.
+
+    ``rank`` chooses among the N best: from 1 on, the ids are first changed as
+    ``others`` says, and rows with fewer segmentations have a null text.
+    """
     sent = encoded.sparkSession.sparkContext.broadcast(_model_bytes(model_file))
 
     @F.pandas_udf(T.StringType())
@@ -526,4 +594,22 @@ def decode(encoded: DataFrame, model_file: str = MODEL_FILE) -> DataFrame:
         for ids in batches:
             yield ids.map(lambda i: "" if i is None else encoder.decode(i).decode())
 
-    return encoded.withColumn("text", text_of("ids")).drop("ids")
+    chosen = F.col("ids")
+    if rank:
+        start = F.struct(F.array().cast("array<int>").alias("ids"), F.lit(0).alias("done"))
+        other = F.get(F.col("others"), rank - 1)
+        chosen = F.aggregate(
+            other,
+            start,
+            lambda made, c: F.struct(
+                F.concat(
+                    made["ids"], F.slice("ids", made["done"] + 1, c["at"] - made["done"]), c["ids"]
+                ).alias("ids"),
+                (c["at"] + c["n_gone"]).alias("done"),
+            ),
+            lambda made: F.concat(
+                made["ids"], F.slice("ids", made["done"] + 1, F.size("ids") - made["done"])
+            ),
+        )
+        return encoded.withColumn("text", F.when(other.isNotNull(), text_of(chosen))).drop("ids")
+    return encoded.withColumn("text", text_of(chosen)).drop("ids")

@@ -379,6 +379,37 @@ def test_encoding_and_decoding(spark):
     assert pieces.encode(docs.limit(0)).count() == 0
 
 
+def test_all_of_the_n_best_are_returned(spark, vocabulary):
+    texts = ["a b a b", "hello", "  a b", "x\ny é 漢", "the token of the day"]
+    done = pieces.encode(documents(spark, [*enumerate(texts, 100), *ROWS]))
+    back = [
+        {(r.doc_id, r.n_pieces): r.text for r in pieces.decode(done, rank=k).collect()} for k in range(pieces.N_BEST)
+    ]
+    for row in done.collect():
+        assert len(row.n_best_sha256) == len(row.scores) == len(row.others) + 1
+        best = np.array(row.ids, np.int32)
+        every = [pieces.changed_ids(best, [tuple(c) for c in other]) for other in [[], *row.others]]
+        assert [hashlib.sha256(ids.astype("<i4").tobytes()).hexdigest() for ids in every] == row.n_best_sha256
+        assert row.n_best_sha256[0] == row.ids_sha256 and len(set(row.n_best_sha256)) == len(every)
+        told = [b"".join(vocabulary.spelled[i] for i in ids)[1:].decode() for ids in every]
+        assert set(told) == {told[0]} and row.decoded
+        by_rank = [some[row.doc_id, row.n_pieces] for some in back]
+        assert by_rank == [*told, *[None] * (pieces.N_BEST - len(told))]
+        if row.doc_id is not None and row.doc_id >= 100:
+            assert told[0] == texts[row.doc_id - 100]
+            for ids, score in zip(every, row.scores):
+                if (ids >= 259).all():
+                    assert sum(vocabulary.scores[i] for i in ids) == score
+
+
+def test_a_segmentation_that_spells_another_text_is_told(vocabulary):
+    encoder = pieces.Encoder(vocabulary)
+    ((ids, ranked),) = encoder.encode_n_best(texts_of(pa.array(["hello there"])))
+    assert all(encoder.spells_the_same(ids, changes) for _, changes in ranked)
+    ((at, n, new),) = ranked[1][1]
+    assert not encoder.spells_the_same(ids, [(at, n, new[:-1])])
+
+
 # Toxicity
 
 
