@@ -4,15 +4,17 @@ A candidate is a run of at least ``WINDOW`` characters of the alphabets keys
 are written in.  Inside it, each character class has its own runs; over each a
 window slides, whose Shannon entropy is kept up to date from the counts of the
 character that enters and the one that leaves.  Windows at or above the class's
-threshold make up spans of kind ``entropy``, unless the allow-list explains the
-string or a pattern already reports it.
+threshold make up spans of kind ``entropy``.  What a pattern already reports is
+taken out of them, and what remains is reported unless the allow-list explains
+it: a host and values meant as examples are passed over, and what stands beside
+them is scanned by itself.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from math import log2
 
@@ -56,13 +58,18 @@ CLASSES = (
 )
 
 #: Strings that look random and are not secret: words and numbers joined by
-#: punctuation, names of hosts, and values meant as examples.
-ALLOWED = (
-    re.compile(r"[+/_=.-]*(?:(?:[A-Za-z][a-z]*|[A-Z]+|[0-9]{1,8}|[0-9]+)[+/_=.-]*)"
-               r"(?:[+/_=.-]+(?:[A-Za-z][a-z]*|[A-Z]+|[0-9]+))*[+/_=.-]*"),
-    re.compile(r"(?:[A-Za-z0-9-]+\.)+(?:com|net|org|edu|gov|io)(?:/.*)?"),
-    re.compile(r"(?i).*(?:example|placeholder|0123456789|abcdefgh|xxxxxx).*"),
+#: punctuation, also words joined by their capitals.
+_WORDS = re.compile(
+    r"[+/_=.-]*(?:%(word)s(?:[+/_=.-]+%(word)s)*[+/_=.-]*)?" % dict(
+        word=r"(?:[A-Za-z][a-z]*|[A-Z]+|[0-9]+"
+        r"|[a-z]*(?:[A-Z][a-z]{2,}|Of|To|In|Is|At|By|On|Or|As|An|It|No|Up|Id|If)+)"
+    )
 )
+#: The name of a host at the beginning of a candidate; a path may follow.
+_HOST = re.compile(r"(?:[A-Za-z0-9-]+\.)+(?:com|net|org|edu|gov|io)(?=/|\Z)")
+#: Values meant as examples, judged by the part of a path or assignment they stand in.
+_PART = re.compile(r"[^/=.]+")
+_EXAMPLE = re.compile(r"(?i)example|placeholder|0123456789|abcdefgh|xxxxxx")
 
 _CANDIDATE = np.zeros(256, dtype=bool)
 _CANDIDATE[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-")] = True
@@ -95,28 +102,61 @@ def high_windows(text: str, least: float, window: int = WINDOW) -> list[tuple[in
     return spans
 
 
-def _mixed(text: str) -> bool:
-    """A key has digits and letters."""
-    return any(c.isdigit() for c in text) and any(c.isalpha() for c in text)
+Range = tuple[int, int]
+
+
+def _beside(size: int, taken: Sequence[Range]) -> list[Range]:
+    """What is left of ``size`` characters when some ranges are taken out."""
+    left, at = [], 0
+    for start, end in sorted(taken):
+        if start > at:
+            left.append((at, start))
+        at = max(at, end)
+    return [*left, (at, size)] if at < size else left
+
+
+def _common(some: list[Range], others: list[Range]) -> Iterator[tuple[Range, Range]]:
+    """Where ranges in order meet others in order, with the one of the others."""
+    i = 0
+    for low, high in others:
+        while i < len(some) and some[i][1] <= low:
+            i += 1
+        k = i
+        while k < len(some) and some[k][0] < high:
+            yield (max(some[k][0], low), min(some[k][1], high)), (low, high)
+            k += 1
+
+
+def _explained(text: str, start: int, end: int, low: int, high: int) -> bool:
+    """Whether a span, its outer words whole within ``low`` to ``high``, is words and numbers."""
+    while start > low and text[start - 1].isalnum():
+        start -= 1
+    while end < high and text[end].isalnum():
+        end += 1
+    return _WORDS.fullmatch(text, start, end) is not None
 
 
-def entropy_spans(candidate: str) -> list[tuple[int, int]]:
-    """Spans in one candidate string that no allow-list entry explains."""
-    if any(a.fullmatch(candidate) for a in ALLOWED):
+def entropy_spans(candidate: str, known: Sequence[Range] = ()) -> list[Range]:
+    """Spans in one candidate string outside of known ones that nothing explains."""
+    if _WORDS.fullmatch(candidate):
         return []
+    passed = [m.span() for m in [_HOST.match(candidate)] if m]
+    if _EXAMPLE.search(candidate):
+        passed += [m.span() for m in _PART.finditer(candidate) if _EXAMPLE.search(m.group())]
     found = []
-    for kind in CLASSES:
-        for run in kind.pattern.finditer(candidate):
-            for start, end in high_windows(run.group(), kind.least):
-                if _mixed(run.group()[start:end]):
+    for low, high in _beside(len(candidate), passed):
+        for kind in CLASSES:
+            for run in kind.pattern.finditer(candidate, low, high):
+                for start, end in high_windows(run.group(), kind.least):
                     found.append((run.start() + start, run.start() + end))
-    merged: list[tuple[int, int]] = []
+    merged: list[Range] = []
     for start, end in sorted(found):
         if merged and start <= merged[-1][1]:
             merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
         else:
             merged.append((start, end))
-    return merged
+    free = _beside(len(candidate), [*passed, *known])
+    return [span for span, part in _common(merged, free) if not _explained(candidate, *span, *part)]
 
 
 def _candidates(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,12 +205,12 @@ def scan_texts(texts: Texts) -> dict[int, list[Span]]:
             for m in pattern.finditer(candidate)
             if m.end() - m.start() >= least
         ]
-        known = found.get(i, []) + spans
-        spans += [
-            (at + s, at + e, 3)
-            for s, e in entropy_spans(candidate)
-            if not any(at + s < k[1] and k[0] < at + e for k in known)
+        known = [
+            (max(s - at, 0), min(e - at, b - a))
+            for s, e, _ in found.get(i, []) + spans
+            if s < at + b - a and at < e
         ]
+        spans += [(at + s, at + e, 3) for s, e in entropy_spans(candidate, known)]
         if spans:
             found.setdefault(i, []).extend(spans)
     for spans in found.values():
