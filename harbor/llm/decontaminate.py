@@ -6,7 +6,10 @@ document (the whole document where it is shorter).  A window and an item have
 fingerprints within the radius, some block differs in at most a quarter of the
 radius, so an item is listed under every such variant of its four blocks and
 windows look their own four blocks up.  That finds all fingerprints within the
-radius.  Candidates are then compared on the texts themselves.
+radius.  A passage can be similar enough and yet have a fingerprint further
+off, so windows and items also look each other up by shingles: of two texts
+that share enough of them, the first few in the order of their hashes have one
+in common.  Candidates are then compared on the texts themselves.
 
 The similarity is that of the word shingles, each weighted by how often it
 occurs: twice the shared weight over the sum of both weights.
@@ -26,7 +29,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +38,7 @@ from harbor.llm.texts import Texts, map_texts, mix, slices, texts_of
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 
-#: Fingerprints at most this far apart are compared.
+#: Fingerprints at most this far apart are compared, whatever their shingles.
 RADIUS = 15
 BLOCKS, BLOCK_BITS = 4, 16
 
@@ -62,6 +65,21 @@ def _needed(window: int, item: int, similarity: float) -> int:
     return max(1, int(np.ceil(similarity * total / 2 - 1e-9)))
 
 
+def _first_shingles(values: np.ndarray, n: int) -> np.ndarray:
+    """Keys of the ``n`` shingles whose hashes are smallest, a repeated one told by its turn."""
+    values = np.sort(values)
+    turn = np.arange(len(values)) - np.searchsorted(values, values)
+    return mix(values + turn.astype(np.uint64) * np.uint64(_SIZE_SALT))[:n].view(np.int64)
+
+
+def _item_keys(values: np.ndarray, size: int, similarity: float) -> np.ndarray:
+    """Keys of an item for windows of any length, the shortest included."""
+    s = _shingle_size(size)
+    lengths = range(s, size + 1)
+    need = min(n for w in lengths if (n := _needed(w, size, similarity)) <= w - s + 1)
+    return _first_shingles(values, len(values) - need + 1)
+
+
 def _bit_sums(hashes: np.ndarray) -> np.ndarray:
     """Running sums of the words' bits as plus and minus one."""
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -74,8 +92,8 @@ def _signed(sums: np.ndarray) -> np.ndarray:
     return np.packbits(sums > 0, axis=-1, bitorder="little").view(np.uint64).ravel()
 
 
-def item_table(items: DataFrame) -> DataFrame:
-    """``item_id, size, fp, said, slots`` of the items that have words."""
+def item_table(items: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``item_id, size, fp, said, slots, keys`` of the items that have words."""
     schema = T.StructType(
         [
             T.StructField("item_id", items.schema["item_id"].dataType),
@@ -83,6 +101,7 @@ def item_table(items: DataFrame) -> DataFrame:
             T.StructField("fp", T.LongType()),
             T.StructField("said", T.StringType()),
             T.StructField("slots", T.ArrayType(T.LongType())),
+            T.StructField("keys", T.ArrayType(T.LongType())),
         ]
     )
 
@@ -100,8 +119,9 @@ def item_table(items: DataFrame) -> DataFrame:
                 own = value[(at >= a) & (at < b)]
                 slots = np.concatenate([_slots(own, 0), _slots(own, size)])
                 fp = _signed(_bit_sums(words.hash[a:b])[-1:])
-                rows.append((item, size, int(fp.view(np.int64)[0]), _said(texts, a, b), slots))
-            columns = list(zip(*rows)) or [[]] * 5
+                keys = _item_keys(own, size, similarity)
+                rows.append((item, size, int(fp.view(np.int64)[0]), _said(texts, a, b), slots, keys))
+            columns = list(zip(*rows)) or [[]] * 6
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(columns[0], batch.schema.field("item_id").type),
@@ -109,6 +129,7 @@ def item_table(items: DataFrame) -> DataFrame:
                     pa.array(columns[2], pa.int64()),
                     pa.array(columns[3], pa.string()),
                     pa.array([s.astype(np.int64) for s in columns[4]], pa.list_(pa.int64())),
+                    pa.array(columns[5], pa.list_(pa.int64())),
                 ],
                 names=schema.names,
             )
@@ -146,13 +167,14 @@ def shingle_filter(items: DataFrame) -> np.ndarray:
 
 def _window_rows(
     texts: Texts, held: np.ndarray, sizes: list[int], similarity: float
-) -> Iterator[tuple[int, int, int, int, str]]:
-    """Text number, first word, item size, fingerprint and words of each window to compare."""
+) -> Iterator[tuple[int, int, int, int, str, np.ndarray]]:
+    """Text number, first word, item size, fingerprint, words and shingle keys of each
+    window to compare."""
     words = texts.words
     for s in sorted({_shingle_size(n) for n in sizes}):
-        at, value = words.windows(s)
-        hit = held[_slots(value, 0)]
-        at, value = at[hit], value[hit]
+        all_at, all_values = words.windows(s)
+        hit = held[_slots(all_values, 0)]
+        at, value = all_at[hit], all_values[hit]
         owner = words.text_of[at]
         # Texts with fewer hits than the easiest size needs are done.
         for i in np.unique(owner).tolist():
@@ -174,12 +196,16 @@ def _window_rows(
                 if len(first):
                     sums = _bit_sums(words.hash[a:b]) if sums is None else sums
                     prints = _signed(sums[first + length] - sums[first]).view(np.int64)
+                    begin = int(np.searchsorted(all_at, a))
+                    n = length - s + 1
                     for f, fp in zip(first.tolist(), prints.tolist()):
-                        yield i, f, size, fp, _said(texts, a + f, a + f + length)
+                        own = all_values[begin + f : begin + f + n]
+                        keys = _first_shingles(own, n - need + 1)
+                        yield i, f, size, fp, _said(texts, a + f, a + f + length), keys
 
 
 def windows(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
-    """``doc_id, start, size, fp, said`` of the windows that could be similar enough."""
+    """``doc_id, start, size, fp, said, keys`` of the windows that could be similar enough."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(np.packbits(shingle_filter(items)))
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
@@ -191,6 +217,7 @@ def windows(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
             T.StructField("size", T.IntegerType()),
             T.StructField("fp", T.LongType()),
             T.StructField("said", T.StringType()),
+            T.StructField("keys", T.ArrayType(T.LongType())),
         ]
     )
 
@@ -200,7 +227,7 @@ def windows(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
             texts = texts_of(batch.column("text")).lower()
             rows = list(_window_rows(texts, bits, sizes, similarity))
             if rows:
-                text_of, start, size, fp, said = zip(*rows)
+                text_of, start, size, fp, said, keys = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(pa.array(text_of)),
@@ -208,6 +235,7 @@ def windows(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
                         pa.array(size, pa.int32()),
                         pa.array(fp, pa.int64()),
                         pa.array(said, pa.string()),
+                        pa.array(keys, pa.list_(pa.int64())),
                     ],
                     names=schema.names,
                 )
@@ -215,18 +243,22 @@ def windows(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
     return map_texts(docs.select("doc_id", "text"), made, schema)
 
 
-def _blocks(frame: DataFrame, fp: str) -> DataFrame:
-    cut = [
-        F.struct(
-            F.lit(i).alias("block"),
-            F.shiftrightunsigned(fp, i * BLOCK_BITS)
-            .bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
-            .cast("int")
-            .alias("bits"),
-        )
-        for i in range(BLOCKS)
-    ]
-    return frame.select("*", F.inline(F.array(*cut)))
+def _block(fp: str, i: int, flips: Column) -> Column:
+    """``block, bits`` of one block of a fingerprint, with each pattern of differing bits."""
+    bits = F.shiftrightunsigned(fp, i * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
+    return F.transform(
+        flips, lambda v: F.struct(F.lit(i).alias("block"), bits.bitwiseXOR(v).alias("bits"))
+    )
+
+
+def _listed(frame: DataFrame, fp: str, variants: list[int]) -> DataFrame:
+    """Every row under its blocks and, as one block more, its shingle keys."""
+    shingles = F.transform(
+        "keys", lambda k: F.struct(F.lit(BLOCKS).alias("block"), k.alias("bits"))
+    )
+    flips = F.array(*[F.lit(v).cast("long") for v in variants])
+    keys = F.concat(*[_block(fp, i, flips) for i in range(BLOCKS)], shingles)
+    return frame.select("*", F.inline(keys)).drop("keys")
 
 
 def _variants(radius: int) -> list[int]:
@@ -266,27 +298,24 @@ def leaks(
     those without an id; repeated items each have their row once; other columns
     are ignored, and an empty table on either side gives an empty result.
     """
-    listed = item_table(items)
+    listed = item_table(items, similarity)
     found = windows(docs, listed, similarity)
-    flips = F.array(*[F.lit(v) for v in _variants(radius)])
-    index = _blocks(listed.select("item_id", "size", "fp"), "fp").select(
-        "item_id",
-        "size",
-        "block",
-        F.col("fp").alias("item_fp"),
-        F.explode(F.transform(flips, lambda v: F.col("bits").bitwiseXOR(v))).alias("bits"),
+    index = _listed(
+        listed.select("item_id", "size", F.col("fp").alias("item_fp"), "keys"),
+        "item_fp",
+        _variants(radius),
     )
     said = listed.select(
         "item_id", "size", F.col("fp").alias("item_fp"), F.col("said").alias("item_said")
     )
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
     near = (
-        _blocks(found, "fp")
+        _listed(found, "fp", [0])
         # The variants multiply the items, so neither side is small enough to broadcast.
         .join(index.hint("merge"), ["size", "block", "bits"])
         .withColumn("distance", distance.cast("int"))
-        .where(F.col("distance") <= radius)
-        # Of the blocks two fingerprints meet in, one is enough.
+        .where((F.col("block") == BLOCKS) | (F.col("distance") <= radius))
+        # Of the blocks and shingles that two meet in, one is enough.
         .dropDuplicates(["doc_id", "start", "size", "said", "item_id", "item_fp"])
         .join(said.hint("merge"), ["item_id", "size", "item_fp"])
         .withColumn("similarity", _similarities("said", "item_said"))

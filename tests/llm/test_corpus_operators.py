@@ -166,6 +166,25 @@ def test_leaks_against_all_windows(spark):
     assert {k for k, (s, _) in want.items() if s == 1.0} <= set(got)
 
 
+def test_no_leak_is_lost_for_its_fingerprint(spark):
+    """Passages just similar enough, at the edges of documents, within them and as short documents."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(5000)] + ["the", "of"] * 400
+    benchmark = [(i, " ".join(rng.choices(words, k=k))) for i, k in enumerate([5, 8, 12, 15, 20, 30, 30, 40, 60, 90])]
+    benchmark += [(20, "a b " * 12), (21, "a b c d a b c d e f g a b c d")]
+    docs = []
+    for i in range(240):
+        passage = rng.choice(benchmark)[1].split()
+        gone = round(len(passage) * rng.choice([0.05, 0.1, 0.15, 0.2, 0.3, 0.33]))
+        passage = passage[gone:] if rng.random() < 0.5 else passage[: len(passage) - gone]
+        own = rng.choices(words, k=rng.choice([0, 0, 10, 40]))
+        docs.append((i, " ".join([*passage, *own] if i % 2 else [*own, *passage])))
+    want = leaks_by_hand(docs, benchmark)
+    found = decontaminate.leaks(documents(spark, docs), items(spark, [(*b, "clash") for b in benchmark])).collect()
+    assert {(r.doc_id, r.item_id): (r.similarity, r.start) for r in found} == want
+    assert any(r.distance > decontaminate.RADIUS for r in found)
+
+
 def test_blocks_find_all_fingerprints_within_the_radius():
     rng = random.Random(5)
     variants = set(decontaminate._variants(decontaminate.RADIUS))
