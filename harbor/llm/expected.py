@@ -93,8 +93,59 @@ SELECT page_id, host, path, rule,
 FROM ruled LEFT JOIN listed USING (name)
 """
 
+_AUDIT = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), failing AS (
+  SELECT doc_id, part,
+    (CASE WHEN len(words) < 200 THEN 'A' ELSE '' END)
+    || (CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END) AS fails
+  FROM split
+), known AS (
+  SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS bad
+  FROM labels GROUP BY doc_id
+), cells AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(bad), 0) AS bad
+  FROM failing LEFT JOIN known USING (doc_id) GROUP BY part, fails
+), letters(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), steps AS (
+  SELECT filter_order, step, filter_order[step] AS letter, filter_order[1:step - 1] AS earlier
+  FROM orders, unnest(range(1, 6)) AS t(step)
+), flags AS (
+  SELECT part, filter_order, step, letter, n, good, bad,
+    contains(fails, letter) AS failed,
+    fails = letter AS alone,
+    earlier <> '' AND regexp_matches(fails, '[' || earlier || '_]') AS gone
+  FROM cells, steps
+), counted AS (
+  SELECT part, filter_order, step, letter,
+    coalesce(sum(n) FILTER (NOT gone AND NOT failed), 0) AS kept,
+    coalesce(sum(n) FILTER (failed AND NOT gone), 0) AS removed,
+    coalesce(sum(n) FILTER (failed AND gone), 0) AS redundant,
+    coalesce(sum(n) FILTER (alone), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (failed AND NOT gone), 0) AS good_lost,
+    coalesce(sum(bad) FILTER (failed AND NOT gone), 0) AS toxic_lost
+  FROM flags GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counted
+"""
+
 SQL: dict[str, str] = {
     "op3_quality_rules": _QUALITY,
     "op7_chat_format": _TURNS,
     "op9_url_filter": _URLS,
+    "op12_filter_audit": _AUDIT,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harbor.llm import (
+    audit,
     chat,
     decontaminate,
     html_text,
@@ -115,6 +116,12 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", near_dedup.as_hex().alias("fingerprint"), "component_id")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_documents(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -126,4 +133,5 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_url_filter": op9_url_filter,
     "op10_near_dedup": op10_near_dedup,
+    "op12_filter_audit": op12_filter_audit,
 }
