@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from harbor.llm.license_rules import KINDS, SIGNATURES
+from harbor.llm.licenses import BASE, WEIGHTS, spread
+
 _QUALITY = r"""
 WITH split AS (
   SELECT doc_id, coalesce(text, '') AS text,
@@ -143,9 +146,67 @@ SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed:
 FROM counted
 """
 
+def _rules(signatures) -> str:
+    return ", ".join(
+        f"({turn}, '{s.label}', {KINDS.index(s.kind)}, '{s.keyword}', ' ({spread(s.pattern)}) ')"
+        for turn, s in enumerate(signatures)
+    )
+
+
+# Suppression compares every two detections of a text here.
+_LICENSES = rf"""
+WITH small AS (
+  SELECT doc_id, row_number() OVER () AS rid, translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), worded AS (
+  SELECT doc_id, rid, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM small
+), spoken AS (
+  SELECT *, ' ' || array_to_string(words, '  ') || ' ' AS said FROM worded
+), rules(turn, label, kind, keyword, pattern) AS (
+  VALUES {_rules(SIGNATURES)}
+), base_rules(turn, label, kind, keyword, pattern) AS (
+  VALUES {_rules(BASE)}
+), tried AS (
+  SELECT rid, said, r.*, false AS base FROM spoken JOIN rules r
+    ON contains(said, keyword) AND regexp_matches(said, pattern)
+  UNION ALL
+  SELECT rid, said, r.*, true AS base FROM spoken JOIN base_rules r
+    ON contains(said, keyword) AND regexp_matches(said, pattern)
+), marked AS (
+  SELECT rid, turn, label, kind, base, string_split(trim(
+    regexp_replace(said, pattern, ' ' || chr(1) || '\1' || chr(2) || ' ', 'g')), '  ') AS w
+  FROM tried
+), found AS (
+  SELECT rid, turn, label, kind, base,
+    unnest(list_filter(range(0, len(w)), lambda i: starts_with(w[i + 1], chr(1)))) AS s,
+    unnest(list_filter(range(1, len(w) + 1), lambda i: ends_with(w[i], chr(2)))) AS e
+  FROM marked
+), kept AS (
+  SELECT * FROM found d WHERE NOT base AND NOT EXISTS (
+    FROM found o WHERE o.rid = d.rid AND NOT o.base
+      AND ((o.kind < d.kind AND o.s < d.e AND d.s < o.e)
+        OR (o.kind = d.kind AND o.s <= d.s AND o.e >= d.e
+          AND (o.e - o.s > d.e - d.s OR o.turn < d.turn))))
+), told AS (
+  SELECT rid, count(*) FILTER (base) AS n_base,
+    min(s) FILTER (base) AS first_word, max(s) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+    min(kind) AS best
+  FROM (FROM kept UNION ALL FROM found WHERE base) GROUP BY rid
+)
+SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce({list(WEIGHTS)}[best + 1], 0)::DOUBLE AS score
+FROM spoken LEFT JOIN told USING (rid)
+"""
+
 SQL: dict[str, str] = {
     "op3_quality_rules": _QUALITY,
     "op7_chat_format": _TURNS,
     "op9_url_filter": _URLS,
     "op12_filter_audit": _AUDIT,
+    "op13_license_scan": _LICENSES,
 }

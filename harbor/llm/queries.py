@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harbor.llm import (
@@ -12,6 +12,7 @@ from harbor.llm import (
     chat,
     decontaminate,
     html_text,
+    licenses,
     near_dedup,
     pieces,
     quality,
@@ -122,6 +123,26 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    starts = F.col("base")["start"]
+
+    def joined(labels: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    base = F.col("base")["label"]
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).cast("long").alias("first_word"),
+        F.array_max(starts).cast("long").alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.concat(base, F.col("detections")["label"])).alias("labels"),
+        "score",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -134,4 +155,5 @@ QUERIES: dict[str, Query] = {
     "op9_url_filter": op9_url_filter,
     "op10_near_dedup": op10_near_dedup,
     "op12_filter_audit": op12_filter_audit,
+    "op13_license_scan": op13_license_scan,
 }
