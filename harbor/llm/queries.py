@@ -20,6 +20,7 @@ from harbor.llm import (
     suffix_dedup,
     toxicity,
     urls,
+    whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +118,10 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", near_dedup.as_hex().alias("fingerprint"), "component_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -154,6 +159,7 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_url_filter": op9_url_filter,
     "op10_near_dedup": op10_near_dedup,
+    "op11_whitening": op11_whitening,
     "op12_filter_audit": op12_filter_audit,
     "op13_license_scan": op13_license_scan,
 }
