@@ -12,6 +12,7 @@ Both walk with stacks of their own, so the depth of a page does not matter.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -30,7 +31,8 @@ RAW = frozenset("script style xmp iframe noembed noframes textarea title".split(
 ESCAPABLE = frozenset(("textarea", "title"))
 HIDDEN = frozenset(
     "head title script style template noscript noembed noframes iframe datalist object audio "
-    "video canvas svg math meta link base param source track area".split()
+    "video canvas meta link base param source track area "
+    "desc defs metadata annotation annotation-xml".split()
 )
 HEAD_ONLY = frozenset("title meta link base style script noscript template".split())
 
@@ -65,12 +67,18 @@ _BARRIERS = frozenset(("table", "td", "th", "caption", "html"))
 _TAG = re.compile(
     r"""<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<other>[!?][^>]*+(?:>|\Z))"""
     r"""|(?P<end>/?)(?P<name>[A-Za-z][^\s/<>]*+)"""
-    r"""(?P<attrs>(?:[^<>"']|"[^"]*+"|'[^']*+')*+)>)""",
+    # Quotes count only where a value begins; elsewhere they are characters.
+    r"""(?P<attrs>(?:[\s/]++|=?[^\s/>=]++"""
+    r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+))?+|=)*+)(?:>|\Z))""",
     re.DOTALL,
 )
-_ATTR = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?""")
+_ATTR = re.compile(r"""(=?[^\s/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']\S*))?""")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
-_NOT_SHOWN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))")
+_NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none")
+_VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(visible|hidden|collapse)")
+
+#: Columns of a table that begin further right than this are not aligned.
+FARTHEST_START = 2000
 
 
 @dataclass
@@ -92,6 +100,11 @@ class Node:
             return False
         return not ("style" in attrs and _NOT_SHOWN.search(attrs["style"].lower()))
 
+    def visible(self, around: bool) -> bool:
+        """Whether its own text shows; what it does not say holds as around it."""
+        said = _VISIBILITY.findall(self.attrs.get("style", "").lower())
+        return said[-1] == "visible" if said else around
+
 
 def _attributes(text: str) -> dict[str, str]:
     found: dict[str, str] = {}
@@ -262,45 +275,60 @@ class _Table:
     rows: list[list[tuple[str, int, int]]] = field(default_factory=list)
     captions: list[str] = field(default_factory=list)
 
-    def lines(self) -> list[str]:
-        """Cells in columns; a cell over several of them pads the last."""
-        placed: list[list[tuple[int, int, list[str]]]] = []
-        taken: dict[tuple[int, int], bool] = {}
-        widths: dict[int, int] = {}
+    def _placed(self) -> list[list[tuple[int, int, list[str]]]]:
+        """Each row's cells as first column, column behind, and lines of text."""
+        placed = []
+        spans: list[tuple[int, int, int]] = []  # first column, column behind, last row
         for r, row in enumerate(self.rows):
-            column, cells = 0, []
+            spans = sorted(s for s in spans if s[2] >= r)
+            column, i, cells, below = 0, 0, [], []
             for text, across, down in row:
-                while taken.get((r, column)):
-                    column += 1
-                for k in range(1, min(down, len(self.rows) - r)):
-                    for c in range(across):
-                        taken[r + k, column + c] = True
-                parts = text.split("\n")
-                cells.append((column, across, parts))
-                if across == 1:
-                    widths[column] = max([widths.get(column, 0), *map(width, parts)])
+                while i < len(spans) and spans[i][0] <= column:
+                    column = max(column, spans[i][1])
+                    i += 1
+                cells.append((column, column + across, text.split("\n")))
+                if down > 1:
+                    below.append((column, column + across, r + down - 1))
                 column += across
+            spans += below
             placed.append(cells)
+        return placed
+
+    def lines(self) -> list[str]:
+        """Cells in columns; a cell over several of them pads the last.
+
+        Only columns in which a cell begins count, however many a cell spans.
+        """
+        placed = self._placed()
+        begun = sorted({first for cells in placed for first, _, _ in cells})
+        widths = [0] * len(begun)
+        wide = []
         for cells in placed:
-            for column, across, parts in cells:
-                if across > 1:
-                    span = range(column, column + across)
-                    held = sum(widths.get(c, 0) for c in span) + 2 * (across - 1)
-                    lack = max(map(width, parts)) - held
-                    if lack > 0:
-                        widths[span[-1]] = widths.get(span[-1], 0) + lack
+            for first, behind, parts in cells:
+                span = range(bisect_left(begun, first), bisect_left(begun, behind))
+                size = max(map(width, parts))
+                if len(span) == 1:
+                    widths[span[0]] = max(widths[span[0]], size)
+                else:
+                    wide.append((span, size))
+        for span, size in wide:
+            held = sum(widths[c] for c in span) + 2 * (len(span) - 1)
+            widths[span[-1]] += max(size - held, 0)
         start, edge = {}, 0
-        for column in range(max(widths, default=-1) + 1):
+        for column, taken in zip(begun, widths):
             start[column] = edge
-            edge += widths.get(column, 0) + 2
+            edge += taken + 2
         found = list(self.captions)
         for cells in placed:
             for i in range(max((len(parts) for _, _, parts in cells), default=0)):
                 line, at = [], 0
-                for column, _, parts in cells:
+                for first, _, parts in cells:
                     if i < len(parts) and parts[i]:
-                        line.append(" " * (start[column] - at) + parts[i])
-                        at = start[column] + width(parts[i])
+                        to = start[first]
+                        if to > FARTHEST_START:
+                            to = at + 2
+                        line.append(" " * (to - at) + parts[i])
+                        at = to + width(parts[i])
                 found.append("".join(line))
         return found
 
@@ -384,14 +412,18 @@ class _Renderer:
 def render(root: Node) -> str:
     """The visible text of a tree."""
     renderer = _Renderer()
+    visible = [True]  # of the elements entered
     stack: list[tuple[Node | str, bool]] = [(root, False)]
     while stack:
         node, left = stack.pop()
         if isinstance(node, str):
-            renderer.text(node)
+            if visible[-1]:
+                renderer.text(node)
         elif left:
+            visible.pop()
             renderer.leave(node)
         elif node.shown:
+            visible.append(node.visible(visible[-1]))
             renderer.enter(node)
             stack.append((node, True))
             children = node.children
