@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from math import log2
@@ -59,12 +60,11 @@ CLASSES = (
 
 #: Strings that look random and are not secret: words and numbers joined by
 #: punctuation, also words joined by their capitals.
-_WORDS = re.compile(
-    r"[+/_=.-]*(?:%(word)s(?:[+/_=.-]+%(word)s)*[+/_=.-]*)?" % dict(
-        word=r"(?:[A-Za-z][a-z]*|[A-Z]+|[0-9]+"
-        r"|[a-z]*(?:[A-Z][a-z]{2,}|Of|To|In|Is|At|By|On|Or|As|An|It|No|Up|Id|If)+)"
-    )
+_WORD = re.compile(
+    r"[A-Za-z][a-z]*|[A-Z]+|[0-9]+"
+    r"|[a-z]*(?:[A-Z][a-z]{2,}|Of|To|In|Is|At|By|On|Or|As|An|It|No|Up|Id|If)+"
 )
+_RUN = re.compile(r"[A-Za-z0-9]+")  # between punctuation
 #: The name of a host at the beginning of a candidate; a path may follow.
 _HOST = re.compile(r"(?:[A-Za-z0-9-]+\.)+(?:com|net|org|edu|gov|io)(?=/|\Z)")
 #: Values meant as examples, judged by the part of a path or assignment they stand in.
@@ -127,18 +127,36 @@ def _common(some: list[Range], others: list[Range]) -> Iterator[tuple[Range, Ran
             k += 1
 
 
-def _explained(text: str, start: int, end: int, low: int, high: int) -> bool:
-    """Whether a span, its outer words whole within ``low`` to ``high``, is words and numbers."""
-    while start > low and text[start - 1].isalnum():
-        start -= 1
-    while end < high and text[end].isalnum():
-        end += 1
-    return _WORDS.fullmatch(text, start, end) is not None
+def _all_words(text: str, start: int, end: int) -> bool:
+    """Whether every run of letters and digits there is a word or a number."""
+    return all(_WORD.fullmatch(run.group()) for run in _RUN.finditer(text, start, end))
+
+
+class _Runs:
+    """Whether spans of a candidate, their outer runs whole, are words and numbers."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.ends = [run.end() for run in _RUN.finditer(text)]
+        self.starts = [run.start() for run in _RUN.finditer(text)]
+        self.known: dict[Range, bool] = {}
+
+    def explain(self, start: int, end: int, low: int, high: int) -> bool:
+        """Of a span within ``low`` to ``high``; each whole stretch is looked at once."""
+        first = bisect_left(self.starts, start) - 1  # the run the character before is in
+        if first >= 0 and start <= self.ends[first]:
+            start = min(max(self.starts[first], low), start)
+        last = bisect_right(self.ends, end)  # the run the character behind is in
+        if last < len(self.ends) and self.starts[last] <= end:
+            end = max(min(self.ends[last], high), end)
+        if (start, end) not in self.known:
+            self.known[start, end] = _all_words(self.text, start, end)
+        return self.known[start, end]
 
 
 def entropy_spans(candidate: str, known: Sequence[Range] = ()) -> list[Range]:
     """Spans in one candidate string outside of known ones that nothing explains."""
-    if _WORDS.fullmatch(candidate):
+    if _all_words(candidate, 0, len(candidate)):
         return []
     passed = [m.span() for m in [_HOST.match(candidate)] if m]
     if _EXAMPLE.search(candidate):
@@ -155,8 +173,11 @@ def entropy_spans(candidate: str, known: Sequence[Range] = ()) -> list[Range]:
             merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
         else:
             merged.append((start, end))
+    if not merged:
+        return []
     free = _beside(len(candidate), [*passed, *known])
-    return [span for span, part in _common(merged, free) if not _explained(candidate, *span, *part)]
+    runs = _Runs(candidate)
+    return [span for span, part in _common(merged, free) if not runs.explain(*span, *part)]
 
 
 def _candidates(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
