@@ -22,15 +22,17 @@ from pyspark.sql import functions as F
 HEAD, END = "### ", "</turn>"
 
 _CONTROL = f"(?:{HEAD}|{END})"
-_BARE = rf"(?<!\\){_CONTROL}"
+# Where a run of backslashes, or of none, begins: not tried again within the run.
+_RUN = r"(?<!\\)"
+_BARE = rf"{_RUN}{_CONTROL}"
 
 
 def escape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(\\*{_CONTROL})", r"\\$1")
+    return F.regexp_replace(text, rf"{_RUN}(\\*+{_CONTROL})", r"\\$1")
 
 
 def unescape(text: Column) -> Column:
-    return F.regexp_replace(text, rf"\\(\\*{_CONTROL})", "$1")
+    return F.regexp_replace(text, rf"{_RUN}\\(\\*+{_CONTROL})", "$1")
 
 
 def _name(role: Column) -> Column:
