@@ -25,15 +25,16 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harbor.llm.storage import stored
 from harbor.llm.texts import map_texts
 
-#: Entries are counted in units of 1/64, from -1,000,000.
-UNITS, ORIGIN = 64, 1_000_000
+#: Entries are counted in units of 1/64.  The contract counts them from -1,000,000,
+#: which every use of them takes off again.
+UNITS = 64
 COMPONENTS = 32
 
 # An entry up to this size, times 64, is a whole number that a double holds.
@@ -45,7 +46,7 @@ _RANK = 1e-11
 _HALF = 26  # bits of the lower part of an exact sum
 
 
-def _finite(vector: str) -> F.Column:
+def _finite(vector: str) -> Column:
     bad = F.exists(
         vector,
         lambda e: e.isNull() | F.isnan(e) | (F.abs(e.cast("double")) > _LARGEST),
