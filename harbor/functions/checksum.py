@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 # The batch functions travel with the job; executors need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -46,36 +46,6 @@ def segments(line: Column) -> Column:
     return F.split(bare, "!")
 
 
-def failed_sum(line: Column, require_meta: bool = True) -> Column:
-    """The first segment without its own checksum: ``segment, claimed, computed``.
-
-    Segments count from 0; ``claimed`` is null where there is no sum.  Null if
-    all hold.  Meant for the few lines that were left out.
-    """
-
-    def told(segment: Column, number: Column) -> Column:
-        head = F.when(segment.startswith("\\"), F.substring(segment, 2, 1 << 30)).otherwise(segment)
-        bare = F.when(head.endswith("\\"), F.substr(head, F.lit(1), F.length(head) - 1)).otherwise(head)
-        parts = F.split(F.rtrim(bare, F.lit("*")), "\\*")
-        claimed, computed = F.get(parts, F.lit(1)), xor_checksum(F.get(parts, F.lit(0)))
-        holds = (F.size(parts) == 2) & (F.upper(claimed) == computed)
-        if not require_meta:
-            holds = holds | ((number == 0) & (segment == ""))
-        return F.struct(
-            number.alias("segment"),
-            claimed.alias("claimed"),
-            computed.alias("computed"),
-            F.coalesce(holds, F.lit(False)).alias("holds"),
-        )
-
-    failed = F.get(F.filter(F.transform(segments(line), told), lambda s: ~s["holds"]), F.lit(0))
-    return F.when(
-        failed.isNotNull(),
-        F.struct(failed["segment"].alias("segment"), failed["claimed"].alias("claimed"),
-                 failed["computed"].alias("computed")),
-    )
-
-
 def _text_holds(line: str, require_meta: bool) -> bool:
     """The rule in full, for one line of unusual form."""
     listed = line.rstrip("!").split("!")
@@ -95,7 +65,43 @@ def _text_holds(line: str, require_meta: bool) -> bool:
     return True
 
 
+def _first_failure(line: str, require_meta: bool) -> tuple[int, str | None, str] | None:
+    """The first segment without its own sum: its number, the sum it claims, and the right one."""
+    for number, segment in enumerate(line.rstrip("!").split("!")):
+        if number == 0 and segment == "" and not require_meta:
+            continue
+        parts = segment.removeprefix("\\").removesuffix("\\").rstrip("*").split("*")
+        claimed = parts[1] if len(parts) > 1 else None
+        units = np.frombuffer(parts[0].encode("utf-16-le", "surrogatepass"), dtype="<u2")
+        computed = f"{int(np.bitwise_xor.reduce(units)):02X}"
+        if len(parts) != 2 or claimed.upper() != computed:
+            return number, claimed, computed
+    return None
+
+
+def _batch_sums(lines: pa.Array, require_meta: bool) -> pa.Array:
+    """Whether the sums of each line hold, and the first that does not."""
+    holds = _holds(lines, require_meta)
+    told: list[tuple | None] = [None] * len(lines)
+    for row in np.flatnonzero(~holds).tolist():
+        told[row] = _first_failure(lines[row].as_py(), require_meta)
+    of_field = [[t and t[i] for t in told] for i in range(3)]
+    return pa.StructArray.from_arrays(
+        [
+            pa.array(holds),
+            pa.array(of_field[0], pa.int32()),
+            pa.array(of_field[1], pa.string()),
+            pa.array(of_field[2], pa.string()),
+        ],
+        names=["holds", "segment", "claimed", "computed"],
+    )
+
+
 def _batch_holds(lines: pa.Array, require_meta: bool) -> pa.Array:
+    return pa.array(_holds(lines, require_meta))
+
+
+def _holds(lines: pa.Array, require_meta: bool) -> np.ndarray:
     lines = lines.cast(pa.large_string())
     n = len(lines)
     offsets = np.frombuffer(lines.buffers()[1], dtype=np.int64)[
@@ -155,7 +161,7 @@ def _batch_holds(lines: pa.Array, require_meta: bool) -> pa.Array:
     for row in np.flatnonzero(~usual):
         text = octets[start[row] : end[row]].tobytes().decode("utf-8", "replace")
         holds[row] = _text_holds(text, require_meta)
-    return pa.array(holds)
+    return holds
 
 
 @F.arrow_udf(BooleanType())
@@ -168,6 +174,26 @@ def _any_line_holds(lines: pa.Array) -> pa.Array:
     return _batch_holds(lines, require_meta=False)
 
 
+_SUMS = StructType(
+    [
+        StructField("holds", BooleanType()),
+        StructField("segment", IntegerType()),
+        StructField("claimed", StringType()),
+        StructField("computed", StringType()),
+    ]
+)
+
+
+@F.arrow_udf(_SUMS)
+def _tagged_line_sums(lines: pa.Array) -> pa.Array:
+    return _batch_sums(lines, require_meta=True)
+
+
+@F.arrow_udf(_SUMS)
+def _any_line_sums(lines: pa.Array) -> pa.Array:
+    return _batch_sums(lines, require_meta=False)
+
+
 def line_holds(line: Column, require_meta: bool = True) -> Column:
     """True when every segment of the line passes its own checksum.
 
@@ -178,3 +204,14 @@ def line_holds(line: Column, require_meta: bool = True) -> Column:
     """
     holds = _tagged_line_holds if require_meta else _any_line_holds
     return holds(F.coalesce(line, F.lit("")))
+
+
+def line_sums(line: Column, require_meta: bool = True) -> Column:
+    """``holds`` as ``line_holds`` tells, and of the first segment whose sum does
+    not hold ``segment, claimed, computed``.
+
+    Segments count from 0; ``claimed`` is null where there is no sum, and all
+    three where every sum holds.
+    """
+    sums = _tagged_line_sums if require_meta else _any_line_sums
+    return sums(F.coalesce(line, F.lit("")))

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from harbor.messages import messages_from_staged, stage_lines
 from harbor.operators import conform, decode, ingest, static_reports
-from harbor.operators.ingest import LEFT_OUT, IngestRules, effective
+from harbor.operators.ingest import LEFT_OUT, IngestRules
 from harbor.sources.checked_csv import read_checked
 from harbor.sources.lines import read_lines
-from harbor.sources.shared import shared_folder
+from harbor.sources.shared import remove, shared_folder
 from harbor.sources.tables import read_messages, write_messages, write_table
 
 Decoder = Callable[..., DataFrame]
@@ -52,16 +52,21 @@ def ingest_job(
 ) -> None:
     """Lines under ``source`` to a message table; lines left out and counts, if asked for.
 
-    The lines are read once, into a staging table in shared storage.
+    The lines are read once, into a staging table of parsed sentences in shared
+    storage, which is removed when the job ends, well or not.
     """
     path = f"{shared_folder(spark)}/lines-{uuid.uuid4().hex}"
-    staged = stage_lines(read_lines(spark, source), path, mode, rules)
-    write_messages(messages_from_staged(staged, mode, rules, keep_bits), target, compact=compact)
-    if quarantine:
-        left_out = staged.where(F.col("route") == LEFT_OUT).drop("route")
-        write_table(ingest.with_failed_sum(left_out, effective(rules, mode)), quarantine)
-    if counts:
-        write_table(ingest.counted(staged), counts)
+    try:
+        staged = stage_lines(read_lines(spark, source), path, mode, rules)
+        made = messages_from_staged(staged, mode, rules, keep_bits)
+        write_messages(made, target, compact=compact)
+        if quarantine:
+            left_out = staged.where(F.col("route") == LEFT_OUT)
+            write_table(ingest.left_out(left_out), quarantine)
+        if counts:
+            write_table(ingest.counted(staged), counts)
+    finally:
+        remove(spark, path)
 
 
 def decode_job(

@@ -12,7 +12,6 @@ from harbor.operators.ingest import (
     IngestRules,
     effective,
     message_parts,
-    parse_sentences,
     read_sentences,
     routed,
     unpack,
@@ -22,10 +21,10 @@ from harbor.operators.reassemble import as_messages, assemble, check_mode
 
 
 def stage_lines(lines: DataFrame, path: str, mode: str, rules: IngestRules) -> DataFrame:
-    """Judge every line once and keep it, by route, under ``path``.
+    """Judge and parse every line once and keep it, by route, under ``path``.
 
     The one pass over an archive: messages, lines left out and counts are all
-    made from the stored lines, each from the folders it needs.
+    made from what is kept, each from the folders and columns it needs.
     """
     check_mode(mode)
     # Where all sentences are numbered together, there are no whole ones.
@@ -44,7 +43,7 @@ def messages_from_staged(
     check_mode(mode)
 
     def sentences(*routes: str) -> DataFrame:
-        return parse_sentences(staged.where(F.col("route").isin(*routes)))
+        return staged.where(F.col("route").isin(*routes))
 
     if mode == "gap" and not rules.lone_parts:
         return unpack(assemble(sentences(WHOLE, PART), mode), keep_bits)

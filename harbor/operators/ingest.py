@@ -8,8 +8,9 @@ A line is a tag block and a sentence, ``\\tags*sum\\!sentence*sum``.  A line is
 * ``few_fields``: fewer than seven fields, or no checksum in the seventh;
 * ``empty_payload``: a single-part message without a payload;
 * ``alphabet``: a payload character that does not stand for six bits;
-* ``fragment_number``: no readable fragment number, a one-part message numbered
-  other than 1, or, if asked for, a number outside the message's count.
+* ``fragment_number``: no readable fragment number or one beyond
+  ``reassemble.MAX_NUMBER``, a one-part message numbered other than 1, or, if
+  asked for, a number outside the message's count.
 """
 
 from __future__ import annotations
@@ -19,8 +20,9 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harbor.functions.checksum import failed_sum, line_holds, segments
+from harbor.functions.checksum import line_holds, line_sums, segments
 from harbor.functions.payload import PAYLOAD_LENIENT, PAYLOAD_STRICT, bits_of, message_type
+from harbor.operators.reassemble import MAX_NUMBER
 
 ACCEPTED = "accepted"
 
@@ -57,7 +59,9 @@ class IngestRules:
     eight payload characters outside the protocol's alphabet.  ``lone_parts``
     rejects one-part messages numbered other than 1, which lets one-part
     messages bypass reassembly.  ``parts_in_count`` rejects fragments numbered
-    below 1 or above their count, which bounds what is joined into a message.
+    below 1 or above their count, which bounds what is joined into a message
+    more tightly than ``MAX_NUMBER`` does.  ``lone_aside`` is set where one-part
+    messages are not numbered at all, so that any number of theirs will do.
     """
 
     check_sums: bool = True
@@ -65,6 +69,7 @@ class IngestRules:
     strict_alphabet: bool = False
     lone_parts: bool = True
     parts_in_count: bool = False
+    lone_aside: bool = False
 
     @property
     def alphabet(self) -> str:
@@ -79,7 +84,9 @@ def effective(rules: IngestRules, mode: str) -> IngestRules:
 
     In ``sequence`` mode one-part messages pass whatever their number.
     """
-    return replace(rules, lone_parts=False) if mode == "sequence" else rules
+    if mode == "sequence":
+        return replace(rules, lone_parts=False, lone_aside=True)
+    return rules
 
 
 def parse_int(text: Column) -> Column:
@@ -97,46 +104,56 @@ def parse_epoch(digits: Column) -> Column:
     return F.timestamp_seconds(parse_digits(digits))
 
 
-def _field(line: Column, index: int) -> Column:
-    sentence = F.get(F.split(line, "!"), F.lit(1))
-    return F.get(F.split(sentence, ","), F.lit(index))
+def _fields_split(lines: DataFrame, *keep: str) -> DataFrame:
+    """``__meta``, ``__n_parts``, ``__fields`` and the two ends of the last field, ``__tail``.
 
-
-def parse_sentences(lines: DataFrame, column: str = "value", *keep: str) -> DataFrame:
-    """Lines to the thirteen sentence columns, after any columns in ``keep``.
-
-    Nothing is filtered; what a line does not have is null.
+    Every split of a line is made here, once.
     """
-    parts = lines.select(*keep, F.split(column, "!").alias("__parts"))
+    parts = lines.select(*keep, segments(F.col("value")).alias("__parts"))
     split = parts.select(
         *keep,
+        F.size("__parts").alias("__n_parts"),
         F.get("__parts", F.lit(0)).alias("__meta"),
         F.split(F.get("__parts", F.lit(1)), ",").alias("__fields"),
     )
+    last = F.rtrim(F.get("__fields", F.lit(6)), F.lit("*"))
+    return split.select("*", F.split(last, "\\*").alias("__tail"))
+
+
+def _sentence_columns() -> list[Column]:
+    """The thirteen columns, from what ``_fields_split`` gives."""
     meta = F.col("__meta")
-    field = [F.get("__fields", F.lit(i)) for i in range(7)]
-    tail = F.split(field[6], "\\*")
-    digits = F.get(tail, F.lit(0))
-    return split.select(
-        *keep,
+    field = [F.get("__fields", F.lit(i)) for i in range(6)]
+    return [
         field[0].alias("packet_type"),
         parse_int(field[1]).alias("fragment_count"),
         parse_int(field[2]).alias("fragment_n"),
         parse_int(field[3]).alias("message_id"),
         field[4].alias("radio_channel"),
         field[5].alias("data"),
-        parse_int(digits).alias("padding"),
-        F.get(tail, F.lit(1)).alias("checksum_packet"),
+        parse_int(F.get("__tail", F.lit(0))).alias("padding"),
+        F.get("__tail", F.lit(1)).alias("checksum_packet"),
         F.regexp_extract(meta, META_STATION, 1).alias("s"),
         parse_digits(F.regexp_extract(meta, META_PORT, 1)).alias("port"),
         parse_digits(F.regexp_extract(meta, META_MMSI, 1)).alias("port_mmsi"),
         parse_epoch(F.regexp_extract(meta, META_TIME, 1)).alias("timestamp"),
         F.regexp_extract(meta, META_CHECKSUM, 1).alias("checksum_meta"),
-    )
+    ]
 
 
-# A field that reads as 1, and one that reads as some int.
+def parse_sentences(lines: DataFrame, column: str = "value", *keep: str) -> DataFrame:
+    """Lines to the thirteen sentence columns, after any columns in ``keep``.
+
+    Nothing is filtered; what a line does not have is null.
+    """
+    named = lines.select(*keep, F.col(column).alias("value")) if column != "value" else lines
+    return _fields_split(named, *keep).select(*keep, *_sentence_columns())
+
+
+# A field that reads as 1, one that reads as a number within
+# MAX_NUMBER, and one that may read as an int.
 _ONE = "[+]?0*1"
+_PLACE = f"[+-]?0*[0-9]{{1,{len(str(MAX_NUMBER))}}}"
 _INT = "[+-]?[0-9]+"
 _ANY = "[^,!]*"
 
@@ -166,10 +183,11 @@ def is_message_part(line: Column, rules: IngestRules = DEFAULT_RULES) -> Column:
     Their count is not 1, or they break ``lone_parts`` where that is allowed;
     a part may be empty as long as it is not a message by itself.
     """
-    part = line.rlike(_shape(f"{rules.alphabet}*", f"(?!{_ONE},){_ANY}", _INT))
+    part = line.rlike(_shape(f"{rules.alphabet}*", f"(?!{_ONE},){_ANY}", _PLACE))
     if rules.lone_parts:
         return part
-    return part | line.rlike(_shape(f"{rules.alphabet}+", _ONE, _INT))
+    number = _INT if rules.lone_aside else _PLACE
+    return part | line.rlike(_shape(f"{rules.alphabet}+", _ONE, number))
 
 
 def sums_hold(line: Column, rules: IngestRules) -> Column:
@@ -186,28 +204,113 @@ def _accepted(lines: DataFrame, fitting: Column, rules: IngestRules) -> DataFram
 
 
 def _numbered(sentences: DataFrame, rules: IngestRules) -> DataFrame:
-    # A fragment number may have more digits than an int holds.
+    """What the patterns leave to be said of the number, if anything.
+
+    A filter on parsed columns is pushed below the checksums and splits every
+    line there, so there is none where the pattern says it all.
+    """
     number, count = F.col("fragment_n"), F.col("fragment_count")
-    found = sentences.where(number.isNotNull())
+    if rules.lone_aside:
+        # It may have more digits than an int holds.
+        sentences = sentences.where(number.isNotNull())
     if rules.parts_in_count:
-        lone = F.coalesce(count == 1, F.lit(False))
-        found = found.where(lone | _in_count(number, count))
-    return found
+        sentences = sentences.where(_number_ok(number, count, rules))
+    return sentences
+
+
+def _lone(count: Column) -> Column:
+    return F.coalesce(count == 1, F.lit(False))
 
 
-def _in_count(number: Column, count: Column) -> Column:
-    return F.coalesce((number >= 1) & (number <= count), F.lit(False))
+def _number_ok(number: Column, count: Column, rules: IngestRules) -> Column:
+    """Whether a sentence's number, null if unreadable, gives it a place."""
+    placed = number.between(-MAX_NUMBER, MAX_NUMBER)
+    if rules.parts_in_count:
+        placed = placed & (_lone(count) | F.coalesce((number >= 1) & (number <= count), F.lit(False)))
+    if rules.lone_aside:
+        placed = placed | _lone(count)
+    if rules.lone_parts:
+        placed = placed & (~_lone(count) | (number == 1))
+    return number.isNotNull() & placed
 
 
 WHOLE, PART, LEFT_OUT = "whole", "part", "left_out"
 
 
+#: What a message or a part of one is made of.
+MESSAGE_COLUMNS = (
+    "packet_type",
+    "fragment_count",
+    "fragment_n",
+    "message_id",
+    "radio_channel",
+    "data",
+    "padding",
+    "s",
+    "port",
+    "port_mmsi",
+    "timestamp",
+)
+#: What a line left out is told with: the first sum that does not hold, if any.
+FAILED_SUM = ("segment", "claimed", "computed")
+
+
+def examined(lines: DataFrame, rules: IngestRules = DEFAULT_RULES, sums: bool = True) -> DataFrame:
+    """Every line summed once, split once and judged: ``value, outcome``, the
+    first sum that does not hold, the type ``id`` of its own payload, and the
+    sentence columns.
+
+    What is split goes through an array of one, which no filter on the outcome
+    can be pushed below, where all of it would be done again.  ``sums=False``
+    leaves out which sums failed.
+    """
+    line = F.col("value")
+    if rules.check_sums and sums:
+        told = line_sums(line, rules.require_meta)
+    else:
+        told = F.struct(sums_hold(line, rules).alias("holds"), *_no_sum())
+    split = _fields_split(lines.select("value", told.alias("__sums")), "value", "__sums")
+    once = F.array(F.struct("__sums", "__n_parts", "__meta", "__fields", "__tail"))
+    known = split.select("value", F.explode(once).alias("__line")).select("value", "__line.*")
+    keep = ["value", *[F.col("__sums")[f].alias(f) for f in FAILED_SUM]]
+    typed = known.select(
+        *keep,
+        F.col("__sums.holds").alias("__holds"),
+        "__n_parts",
+        "__fields",
+        "__tail",
+        *_sentence_columns(),
+    )
+    return typed.select(
+        "value",
+        outcome(rules).alias("outcome"),
+        *FAILED_SUM,
+        first_type(F.col("data")).alias("id"),
+        *SENTENCE_COLUMNS,
+    )
+
+
+def _no_sum() -> list[Column]:
+    kinds = ("int", "string", "string")
+    return [F.lit(None).cast(kind).alias(name) for name, kind in zip(FAILED_SUM, kinds)]
+
+
 def routed(lines: DataFrame, rules: IngestRules, any_number: bool) -> DataFrame:
-    """``value, outcome, route``: a message by itself, a part of one, or left out."""
-    whole = is_whole_message(F.col("value"), rules, any_number)
-    return judged(lines, rules).withColumn(
-        "route",
-        F.when(F.col("outcome") != ACCEPTED, LEFT_OUT).when(whole, WHOLE).otherwise(PART),
+    """Every line as it is staged, by ``route``: a message by itself, a part of one, or left out.
+
+    ``outcome`` and ``id`` of all of them, to be counted; the text and the sum
+    that failed of those left out; the message columns of the others.
+    """
+    accepted = F.col("outcome") == ACCEPTED
+    lone = _lone(F.col("fragment_count"))
+    whole = lone if any_number else lone & (F.col("fragment_n") == 1)
+    return examined(lines, rules).select(
+        F.when(~accepted, F.col("value")).alias("value"),
+        "outcome",
+        *FAILED_SUM,
+        "id",
+        *[F.when(accepted, F.col(c)).alias(c) for c in MESSAGE_COLUMNS],
+        F.when(~accepted, LEFT_OUT).when(whole, WHOLE).otherwise(PART).alias("route"),
     )
 
 
@@ -235,55 +338,28 @@ def read_sentences(lines: DataFrame, rules: IngestRules = DEFAULT_RULES) -> Data
     return _numbered(_accepted(lines, fitting, rules), rules)
 
 
-def _numbers_ok(line: Column, rules: IngestRules) -> Column:
-    number = parse_int(_field(line, 2))
-    ok = number.isNotNull()
-    if rules.lone_parts:
-        lone = F.coalesce(parse_int(_field(line, 1)) == 1, F.lit(False))
-        ok = ok & (~lone | (number == 1))
-    if rules.parts_in_count:
-        count = parse_int(_field(line, 1))
-        ok = ok & (F.coalesce(count == 1, F.lit(False)) | _in_count(number, count))
-    return ok
-
-
-def _is_empty_message(line: Column) -> Column:
-    lone = F.coalesce(parse_int(_field(line, 1)) == 1, F.lit(False))
-    return lone & (F.coalesce(_field(line, 5), F.lit("")) == "")
-
-
-def outcome(
-    line: Column, rules: IngestRules = DEFAULT_RULES, holds: Column | None = None
-) -> Column:
+def outcome(rules: IngestRules = DEFAULT_RULES) -> Column:
     """``accepted``, or the first reason why the line is left out.
 
-    ``holds`` says whether the sums hold, where that is known already.
+    From the columns that ``examined`` has of a line.
     """
-    parts = segments(line)
-    fields = F.split(F.get(parts, F.lit(1)), ",")
-    sum_part = F.get(F.split(F.rtrim(F.get(fields, F.lit(6)), F.lit("*")), "\\*"), F.lit(1))
+    fields = F.col("__fields")
+    number, count, data = F.col("fragment_n"), F.col("fragment_count"), F.col("data")
+    few = (F.size(fields) < 7) | F.get("__tail", F.lit(1)).isNull()
     return (
-        F.when(~(sums_hold(line, rules) if holds is None else holds), "checksum")
-        .when(F.size(parts) < 2, "no_sentence")
-        .when((F.size(fields) < 7) | sum_part.isNull(), "few_fields")
-        .when(_is_empty_message(line), "empty_payload")
-        .when(~F.get(fields, F.lit(5)).rlike(f"^{rules.alphabet}*$"), "alphabet")
-        .when(~_numbers_ok(line, rules), "fragment_number")
+        F.when(~F.col("__holds"), "checksum")
+        .when(F.col("__n_parts") < 2, "no_sentence")
+        .when(few, "few_fields")
+        .when(_lone(count) & (data == ""), "empty_payload")
+        .when(~data.rlike(f"^{rules.alphabet}*$"), "alphabet")
+        .when(~_number_ok(number, count, rules), "fragment_number")
         .otherwise(ACCEPTED)
     )
 
 
 def judged(lines: DataFrame, rules: IngestRules = DEFAULT_RULES) -> DataFrame:
-    """``value, outcome`` of every line, each summed once.
-
-    The sum goes through an array of one, which no filter on the outcome can
-    be pushed below, where it would be computed again.
-    """
-    line = F.col("value")
-    summed = lines.select(
-        "value", F.explode(F.array(sums_hold(line, rules))).alias("__holds")
-    )
-    return summed.select("value", outcome(line, rules, F.col("__holds")).alias("outcome"))
+    """``value, outcome`` of every line."""
+    return examined(lines, rules, sums=False).select("value", "outcome")
 
 
 def checksum_filter(lines: DataFrame, require_meta: bool = True) -> DataFrame:
@@ -291,35 +367,24 @@ def checksum_filter(lines: DataFrame, require_meta: bool = True) -> DataFrame:
     return lines.where(line_holds(F.col("value"), require_meta))
 
 
-def with_failed_sum(left_out: DataFrame, rules: IngestRules = DEFAULT_RULES) -> DataFrame:
-    """Append ``segment, claimed, computed`` of the sum that did not hold, if any."""
-    failed = F.when(
-        F.col("outcome") == "checksum", failed_sum(F.col("value"), rules.require_meta)
-    )
-    # Through an array of one, or it would be computed for each of its fields.
-    told = left_out.select("*", F.explode(F.array(failed)).alias("__failed"))
-    return told.select(
-        *left_out.columns, "__failed.segment", "__failed.claimed", "__failed.computed"
-    )
-
-
 def quarantine(lines: DataFrame, rules: IngestRules = DEFAULT_RULES) -> DataFrame:
     """The lines left out: ``value, outcome`` and the sum that did not hold."""
-    return with_failed_sum(judged(lines, rules).where(F.col("outcome") != ACCEPTED), rules)
+    return left_out(examined(lines, rules))
+
+
+def left_out(found: DataFrame) -> DataFrame:
+    """The lines left out, of ``examined`` or staged lines."""
+    return found.where(F.col("outcome") != ACCEPTED).select("value", "outcome", *FAILED_SUM)
 
 
 def ingest_counts(lines: DataFrame, rules: IngestRules = DEFAULT_RULES) -> DataFrame:
     """Lines per outcome and message type of the line's own payload."""
-    return counted(judged(lines, rules))
+    return counted(examined(lines, rules, sums=False))
 
 
-def counted(judged_lines: DataFrame) -> DataFrame:
-    """Lines per outcome and message type, from ``value, outcome``."""
-    return (
-        judged_lines.select("outcome", first_type(_field(F.col("value"), 5)).alias("id"))
-        .groupBy("outcome", "id")
-        .agg(F.count(F.lit(1)).alias("n_lines"))
-    )
+def counted(found: DataFrame) -> DataFrame:
+    """Lines per outcome and message type, of ``examined`` or staged lines."""
+    return found.groupBy("outcome", "id").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
 def first_type(data: Column) -> Column:

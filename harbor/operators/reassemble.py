@@ -5,9 +5,15 @@ station heard in one second and takes fragment number minus row number as the
 message's identity.  ``sequence`` links fragments by the protocol's own
 sequential message number.
 
-Both work on groups that may hold a large share of all rows: copies are folded
-into counts before the first shuffle, numbering is done in buckets, and no
-task meets a whole group.
+Copies of a sentence are folded into counts before the first shuffle.  A usual
+second is numbered by one window, and as its messages lie where it does, they are
+merged there without another shuffle.  A second that holds very many sentences is
+numbered in buckets, as many as its measured size asks for, and no task meets the
+whole of it.
+
+A message is put together from parts numbered within ``MAX_NUMBER``, so its size
+is bounded; fragments numbered beyond, or not at all, are left out
+(``without_place``; ingest quarantines them).
 """
 
 from __future__ import annotations
@@ -53,12 +59,28 @@ SEQUENCE_KEYS = (
     "timestamp",
 )
 
-# Leading digest digits that name a bucket: 256 buckets per fragment number.
-_BUCKET_DIGITS = 2
+#: Fragments numbered further from 0 are no parts of messages; the protocol has one digit.
+MAX_NUMBER = 999
+
+#: Sentences of a second, copies too, from which it is numbered in buckets of about as many.
+LARGEST_SECOND = 1 << 18
+#: So many seconds at most are, the largest ones; any other then holds fewer than
+#: this part of all sentences.
+BUCKETED_SECONDS = 100_000
+
+# Hexadecimal digits of the digest that can name a bucket.
+_MOST_DIGITS = 8
 # Copies of one sentence that one row is unfolded into; of no effect on results.
 _COPIES_PER_ROW = 4096
-# Stands for null in the bucketing keys; outside the range of an int or epoch.
-_NO_VALUE = -(1 << 60)
+
+
+def _placed(number: Column) -> Column:
+    return F.coalesce(number.between(-MAX_NUMBER, MAX_NUMBER), F.lit(False))
+
+
+def without_place(sentences: DataFrame) -> DataFrame:
+    """The fragments that no message takes in."""
+    return sentences.where(~_placed(F.col("fragment_n")))
 
 
 def tie_digest() -> Column:
@@ -68,60 +90,100 @@ def tie_digest() -> Column:
     )
 
 
-def _present(name: str) -> Column:
-    column = F.col(name)
-    if name == "timestamp":
-        column = F.unix_micros(column)
-    return F.coalesce(column.cast("long"), F.lit(_NO_VALUE))
+# What identifies a fragment or makes up its message.
+_FRAGMENT_COLUMNS = tuple(
+    dict.fromkeys((*MESSAGE_KEYS, *SECOND_KEYS, "fragment_n", "message_id", "data"))
+)
+_ORDER = ("fragment_n", "__digest", *TIE_COLUMNS)
 
 
-def number_fragments(sentences: DataFrame) -> DataFrame:
-    """Append ``generated_id``: fragment number minus row number.
+def _folded(sentences: DataFrame) -> DataFrame:
+    """Different sentences with their number of copies."""
+    return (
+        sentences.where(_placed(F.col("fragment_n")))
+        .select(*_FRAGMENT_COLUMNS)
+        .groupBy(*_FRAGMENT_COLUMNS)
+        .agg(F.count(F.lit(1)).alias("__copies"))
+    )
 
-    Rows are numbered per station, second and fragment count in the order of
-    fragment number, ties by digest.  A row's number is the count of all rows
-    in earlier buckets plus its place in its own bucket, so one busy station
-    and second is numbered by as many tasks as it has buckets.  The columns
-    kept are those that identify or make up a message.
+
+def _large_seconds(copies: DataFrame) -> DataFrame:
+    """The seconds to be numbered in buckets: ``__key_*``, and ``__digits`` of the buckets' names.
+
+    A bucket's name is the first digits of the digest, so one digit more makes
+    sixteen of each.  Not more than ``BUCKETED_SECONDS`` rows.
     """
-    columns = list(
-        dict.fromkeys((*MESSAGE_KEYS, *SECOND_KEYS, "fragment_n", "message_id", "data"))
+    measured = copies.groupBy(*SECOND_KEYS).agg(
+        F.count(F.lit(1)).alias("__rows"), F.sum("__copies").alias("__all")
     )
-    copies = (
-        sentences.select(*columns)
-        .groupBy(*columns)
-        .agg(F.count(F.lit(1)).alias("__copies"))
-        .withColumn("__digest", tie_digest())
-    )
-    group = [f"__key_{c}" for c in SECOND_KEYS]
-    place = ["__number", "__bucket"]
-    bucket = group + place
-    rows = copies.select(
-        *columns,
-        "__digest",
-        "__copies",
-        *[_present(c).alias(k) for c, k in zip(SECOND_KEYS, group)],
-        _present("fragment_n").alias("__number"),
-        F.substring("__digest", 1, _BUCKET_DIGITS).alias("__bucket"),
-    )
-    within = (
-        W.partitionBy(*bucket)
-        .orderBy("__digest", *TIE_COLUMNS)
-        .rowsBetween(W.unboundedPreceding, -1)
+    digits = F.ceil(F.log(16.0, F.col("__rows") / LARGEST_SECOND)).cast("int")
+    return (
+        measured.where(F.col("__all") > LARGEST_SECOND)
+        .orderBy(F.desc("__all"))
+        .limit(BUCKETED_SECONDS)
+        .select(
+            *[F.col(c).alias(f"__key_{c}") for c in SECOND_KEYS],
+            F.least(F.greatest(digits, F.lit(0)), F.lit(_MOST_DIGITS)).alias("__digits"),
+        )
+    )
+
+
+def _before(*keys: str) -> Column:
+    """How many sentences of the same keys stand before a row, copies counted."""
+    earlier = W.partitionBy(*keys).orderBy(*_ORDER).rowsBetween(W.unboundedPreceding, -1)
+    return F.coalesce(F.sum("__copies").over(earlier), F.lit(0))
+
+
+def _split(sentences: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The folded sentences of usual seconds, and of large ones with ``__digits``.
+
+    One outer join marks them: an anti join would be pushed below the folding,
+    which would then be done anew for each of its uses.
+    """
+    copies = _folded(sentences)
+    same = [F.col(c).eqNullSafe(F.col(f"__key_{c}")) for c in SECOND_KEYS]
+    marked = copies.join(F.broadcast(_large_seconds(copies)), same, "left").select(
+        *_FRAGMENT_COLUMNS, "__copies", "__digits", tie_digest().alias("__digest")
     )
-    placed = rows.withColumn(
-        "__before", F.coalesce(F.sum("__copies").over(within), F.lit(0))
+    return (
+        marked.where(F.col("__digits").isNull()),
+        marked.where(F.col("__digits").isNotNull()),
     )
+
+
+def _number_usual(copies: DataFrame) -> DataFrame:
+    """Numbered where the second lies: one window over all of it."""
+    first = F.col("fragment_n") - F.col("__before")
+    step = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies"))).alias("__step")
+    return (
+        copies.withColumn("__before", _before(*SECOND_KEYS))
+        .select(*_FRAGMENT_COLUMNS, first.alias("__first"), step)
+        .select(*_FRAGMENT_COLUMNS, (F.col("__first") - F.col("__step")).alias("generated_id"))
+    )
+
+
+def _number_large(copies: DataFrame) -> DataFrame:
+    """Numbered in buckets: place in the bucket, and the sum of the buckets before it."""
+    bucket = [*SECOND_KEYS, "fragment_n", "__bucket"]
+    placed = copies.withColumn(
+        "__bucket", F.substr("__digest", F.lit(1), F.col("__digits"))
+    ).withColumn("__before", _before(*bucket))
     totals = placed.groupBy(*bucket).agg(F.sum("__copies").alias("__total"))
-    earlier = W.partitionBy(*group).orderBy(*place).rowsBetween(W.unboundedPreceding, -1)
+    earlier = (
+        W.partitionBy(*SECOND_KEYS)
+        .orderBy("fragment_n", "__bucket")
+        .rowsBetween(W.unboundedPreceding, -1)
+    )
     offsets = totals.select(
-        *bucket, F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__offset")
+        *[F.col(c).alias(f"__of_{c}") for c in bucket],
+        F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__offset"),
     )
+    same = [F.col(c).eqNullSafe(F.col(f"__of_{c}")) for c in bucket]
     # All copies are numbered as one row; only then are they told apart, those
     # of a very frequent sentence by many tasks.
-    first = F.col("__offset") + F.col("__before")
-    numbered = placed.join(offsets, bucket).select(
-        *columns, "__digest", "__copies", (F.col("fragment_n") - first).alias("__first")
+    first = F.col("fragment_n") - F.col("__offset") - F.col("__before")
+    numbered = placed.join(offsets, same).select(
+        *_FRAGMENT_COLUMNS, "__digest", "__copies", first.alias("__first")
     )
     few = F.col("__copies") <= _COPIES_PER_ROW
     runs = F.sequence(
@@ -137,11 +199,22 @@ def number_fragments(sentences: DataFrame) -> DataFrame:
     step = F.explode(F.sequence(F.col("__run") + 1, end)).alias("__step")
     return (
         once.unionByName(spread)
-        .select(*columns, "__first", step)
-        .select(*columns, (F.col("__first") - F.col("__step")).alias("generated_id"))
+        .select(*_FRAGMENT_COLUMNS, "__first", step)
+        .select(*_FRAGMENT_COLUMNS, (F.col("__first") - F.col("__step")).alias("generated_id"))
     )
 
 
+def number_fragments(sentences: DataFrame) -> DataFrame:
+    """Append ``generated_id``: fragment number minus row number.
+
+    Rows are numbered per station, second and fragment count in the order of
+    fragment number, ties by digest.  The columns kept are those that identify
+    or make up a message; fragments without a place are left out.
+    """
+    usual, large = _split(sentences)
+    return _number_usual(usual).unionByName(_number_large(large))
+
+
 def _joined(parts: Column) -> Column:
     """Payloads in fragment order."""
     return F.array_join(F.transform(F.array_sort(parts), lambda p: p["data"]), "")
@@ -150,9 +223,9 @@ def _joined(parts: Column) -> Column:
 def merge_fragments(numbered: DataFrame) -> DataFrame:
     """Join the payloads that share their keys and ``generated_id``.
 
-    Within such a group every fragment number occurs once, so a group has as
-    many parts as there are different fragment numbers.  Those are not held to
-    the message's count here; ``IngestRules.parts_in_count`` does that.
+    Within such a group every fragment number occurs once, so a group has no
+    more parts than there are numbers within ``MAX_NUMBER``.  Those are not held
+    to the message's count here; ``IngestRules.parts_in_count`` does that.
     """
     return (
         numbered.groupBy(*MESSAGE_KEYS, "generated_id")
@@ -163,7 +236,11 @@ def merge_fragments(numbered: DataFrame) -> DataFrame:
 
 def assemble_gap(fragments: DataFrame) -> DataFrame:
     """Messages from sentences, all of which take part in the numbering."""
-    return merge_fragments(number_fragments(fragments))
+    usual, large = _split(fragments)
+    # Apart, as the usual seconds' fragments already lie where they are merged.
+    return merge_fragments(_number_usual(usual)).unionByName(
+        merge_fragments(_number_large(large))
+    )
 
 
 def assemble_sequence(fragments: DataFrame) -> DataFrame:
@@ -175,7 +252,7 @@ def assemble_sequence(fragments: DataFrame) -> DataFrame:
     seconds stay apart.
     """
     keys = list(SEQUENCE_KEYS)
-    single = fragments.groupBy(*keys, "fragment_n").agg(
+    single = fragments.where(_placed(F.col("fragment_n"))).groupBy(*keys, "fragment_n").agg(
         F.min(F.struct("data", "padding")).alias("__part")
     )
     return (

@@ -22,3 +22,9 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="harbor-")
     return folder.rstrip("/")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job made for itself, wherever it lies."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

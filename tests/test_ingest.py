@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from harbor import jobs
 from harbor.operators import ingest as I
 from harbor.operators.ingest import IngestRules
 from harbor.messages import messages_from_lines, messages_from_staged, stage_lines
@@ -14,8 +15,7 @@ def body_line(body: str) -> str:
 
 
 def outcomes(spark, lines, rules=I.DEFAULT_RULES):
-    rows = frame(spark, lines).select(I.outcome(F.col("value"), rules).alias("o")).collect()
-    return [row.o for row in rows]
+    return [row.outcome for row in I.judged(frame(spark, lines), rules).collect()]
 
 
 CASES = {
@@ -177,3 +177,38 @@ def test_whole_lines_are_not_exchanged(spark):
     assert "Exchange" not in plan
     # The pattern is tested below the checksum.
     assert plan.index("ArrowEvalPython") < plan.rindex("RLIKE(value")
+
+
+def test_numbers_beyond_the_bound_are_left_out(spark):
+    near, far = body_line("AIVDM,2,-0999,,A,15,0"), body_line("AIVDM,2,1000,,A,15,0")
+    assert outcomes(spark, [near, far]) == ["accepted", "fragment_number"]
+    rows = frame(spark, [near, far])
+    assert I.message_parts(rows).count() == I.read_sentences(rows).count() == 1
+    assert I.sentences_as_messages(rows).count() == 2  # nothing is merged there
+
+
+def test_a_line_is_split_once_and_told_why(spark):
+    bad = PASSES[:-2] + "zz"
+    lines = [bad, "\\a*61\\!b*63", "no sum", "", "\\a*61\\!é*E9", "\\a*61\\!é*e8!"]
+    found = {r.value: r for r in I.quarantine(frame(spark, lines)).collect()}
+    assert {(r.segment, r.claimed) for r in found.values()} == {
+        (1, "zz"), (1, "63"), (0, None), (1, "e8"),
+    } | {(None, None)}
+    assert found["\\a*61\\!b*63"].computed == "62" and found["\\a*61\\!é*e8!"].computed == "E9"
+    assert found["\\a*61\\!é*E9"].outcome == "few_fields"
+    plan = I.quarantine(frame(spark, lines))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("split(") == 3  # a line, its sentence, and the last field
+
+
+def test_ingest_job_leaves_no_staging_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "shared_folder", lambda _: str(tmp_path / "shared"))
+    frame(spark, [*CASES, *KNOWN_LINES]).write.text(str(tmp_path / "lines"))
+    paths = [str(tmp_path / name) for name in ("lines", "messages", "left_out")]
+    jobs.ingest_job(spark, *paths, counts=str(tmp_path / "counts"))
+    assert not list((tmp_path / "shared").iterdir())
+    rows = spark.read.text(paths[0])
+    assert spark.read.parquet(paths[1]).count() == messages_from_lines(rows).count()
+    left_out, counts = spark.read.parquet(paths[2]), spark.read.parquet(str(tmp_path / "counts"))
+    assert left_out.exceptAll(I.quarantine(rows)).isEmpty()
+    assert counts.exceptAll(I.ingest_counts(rows)).isEmpty()
+    assert left_out.columns == I.quarantine(rows).columns

@@ -59,7 +59,7 @@ def as_counter(frame):
 @pytest.mark.parametrize("copies_per_row", [3, 4096])
 def test_gap_against_brute_force_with_hot_groups(spark, monkeypatch, copies_per_row):
     monkeypatch.setattr(R, "_COPIES_PER_ROW", copies_per_row)
-    monkeypatch.setattr(R, "_BUCKET_DIGITS", 1)
+    monkeypatch.setattr(R, "LARGEST_SECOND", 40)
     rng = random.Random(11)
     rows = []
     for _ in range(600):  # one busy second holds most of the rows, nulls among the keys
@@ -164,3 +164,44 @@ def test_lines_and_sentences_agree(spark):
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         R.reassemble(sentences(spark, [sentence()]), "other")
+
+
+def test_a_million_parts_of_one_message(spark):
+    """What is numbered beyond the bound is left out, and the rest is one short row."""
+    parts = spark.range(1, 1_000_001).selectExpr(
+        "'AIVDM' AS packet_type", "2 AS fragment_count", "cast(id AS int) AS fragment_n",
+        "1 AS message_id", "'A' AS radio_channel", "cast(id % 7 AS string) AS data",
+        "0 AS padding", "'ASM' AS s", "1 AS port", "7 AS port_mmsi", "timestamp_seconds(5) AS timestamp",
+    )
+    want = "".join(str(i % 7) for i in range(1, R.MAX_NUMBER + 1))
+    for mode in ("gap", "sequence"):
+        (row,) = R.reassemble(parts, mode).collect()
+        assert row.data == want
+    assert R.without_place(parts).count() == 1_000_000 - R.MAX_NUMBER
+
+
+@pytest.mark.parametrize("n", [4_000, 40_000])
+def test_buckets_do_not_grow_with_their_second(spark, monkeypatch, n):
+    monkeypatch.setattr(R, "LARGEST_SECOND", 1_000)
+    rows = spark.range(n).selectExpr(
+        "'AIVDM' AS packet_type", "2 AS fragment_count", "cast(1 + id % 2 AS int) AS fragment_n",
+        "1 AS message_id", "'A' AS radio_channel", "cast(id AS string) AS data",
+        "0 AS padding", "'ASM' AS s", "1 AS port", "7 AS port_mmsi", "timestamp_seconds(5) AS timestamp",
+    )
+    usual, large = R._split(rows)
+    assert usual.isEmpty()
+    sizes = large.selectExpr("fragment_n", "substr(__digest, 1, __digits) AS bucket").groupBy(
+        "fragment_n", "bucket"
+    ).count()
+    assert max(r["count"] for r in sizes.collect()) <= 1_000
+    numbers = R.number_fragments(rows).selectExpr("fragment_n - generated_id AS number")
+    assert sorted(r.number for r in numbers.collect()) == list(range(1, n + 1))
+
+
+def test_usual_seconds_are_merged_where_they_are_numbered(spark):
+    rows = [sentence(fragment_n=n, data=str(n), port_mmsi=i) for i in range(50) for n in (1, 2)]
+    made = R.reassemble(sentences(spark, rows), bypass=False)
+    assert len(made.collect()) == 50
+    plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # One exchange folds copies, one brings the second together.
+    assert plan.count("+- Exchange") == 2 and plan.count("Window") == 1
