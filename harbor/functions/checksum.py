@@ -101,6 +101,20 @@ def _batch_holds(lines: pa.Array, require_meta: bool) -> pa.Array:
     return pa.array(_holds(lines, require_meta))
 
 
+def _code_units(octets: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """UTF-16 code units of UTF-8 text, and the unit at which each byte's character begins.
+
+    None if the text is not UTF-8.
+    """
+    try:
+        text = octets.tobytes().decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+    units = np.frombuffer(text.encode("utf-16-le"), dtype="<u2")
+    taken = ((octets & 0xC0) != 0x80).astype(np.int64) + (octets >= 0xF0)
+    return units, np.concatenate([[0], np.cumsum(taken)])
+
+
 def _holds(lines: pa.Array, require_meta: bool) -> np.ndarray:
     lines = lines.cast(pa.large_string())
     n = len(lines)
@@ -113,53 +127,70 @@ def _holds(lines: pa.Array, require_meta: bool) -> np.ndarray:
     offsets = offsets - offsets[0]
     start, end = offsets[:-1], offsets[1:]
 
+    # Characters are summed as UTF-16 units; of plain text those are the bytes.
+    units, readable = octets, np.ones(n, dtype=bool)
+    high = np.flatnonzero(octets >= 128)
+    wide = np.searchsorted(high, end) > np.searchsorted(high, start)
+    if len(high):
+        made = _code_units(octets)
+        if made is None:
+            readable = ~wide
+        else:
+            units, place = made
+            start, end = place[start], place[end]
+
     # Trailing marks end no segment; lines with very many are of unusual form.
     stop = end.copy()
-    # A zero byte after the last line keeps every index in range.
-    padded = np.append(octets, np.uint8(0))
+    # A zero after the last line keeps every index in range.
+    padded = np.append(units, units.dtype.type(0))
     for _ in range(4):
         stop -= (stop > start) & (padded[stop - 1] == _MARK)
-    marks = np.flatnonzero(octets == _MARK)
-    stars = np.flatnonzero(octets == _STAR)
-    wide = np.flatnonzero(octets >= 128)
+    marks = np.flatnonzero(units == _MARK)
+    stars = np.flatnonzero(units == _STAR)
     first_mark, first_star = np.searchsorted(marks, start), np.searchsorted(stars, start)
     n_marks = np.searchsorted(marks, stop) - first_mark
     n_stars = np.searchsorted(stars, stop) - first_star
-    plain = (np.searchsorted(wide, end) == np.searchsorted(wide, start)) & (stop > start)
+    plain = readable & (stop > start)
     plain &= padded[stop - 1] != _MARK
     mark = np.append(marks, 0)[np.minimum(first_mark, len(marks))]
     star = np.append(stars, 0)[np.minimum(first_star, len(stars))]
     next_star = np.append(stars, 0)[np.minimum(first_star + 1, len(stars))]
-    running = np.zeros(len(octets) + 1, dtype=np.uint8)
-    np.bitwise_xor.accumulate(octets, out=running[1:])
+    running = np.zeros(len(units) + 1, dtype=units.dtype)
+    np.bitwise_xor.accumulate(units, out=running[1:])
+    digit = _HEX[np.minimum(padded, 255)]
 
-    def segment_holds(left: np.ndarray, at: np.ndarray, right: np.ndarray) -> np.ndarray:
+    holds = np.zeros(n, dtype=bool)
+    longer = np.zeros(n, dtype=bool)  # a sum of wide characters may take more digits
+
+    def segment_holds(
+        rows: np.ndarray, left: np.ndarray, at: np.ndarray, right: np.ndarray
+    ) -> np.ndarray:
+        left, at, right = left[rows], at[rows], right[rows]
         left = left + ((padded[left] == _SLASH) & (left < at))
         right = right - (padded[right - 1] == _SLASH)
-        high, low = _HEX[padded[at + 1]], _HEX[padded[np.minimum(at + 2, len(octets))]]
-        claimed = high.astype(np.int64) * 16 + low
+        longer[rows] |= wide[rows] & (right - at > 3)
+        first, second = digit[at + 1], digit[np.minimum(at + 2, len(units))]
+        claimed = first.astype(np.int64) * 16 + second
         return (
             (right - at == 3)
-            & (high < 16)
-            & (low < 16)
+            & (first < 16)
+            & (second < 16)
             & (claimed == running[at] ^ running[left])
         )
 
-    holds = np.zeros(n, dtype=bool)
     # A tag block and a sentence: one mark with a star on either side.
     two = plain & (n_marks == 1) & (n_stars == 2) & (star < mark) & (mark < next_star)
-    holds[two] = segment_holds(start[two], star[two], mark[two]) & segment_holds(
-        mark[two] + 1, next_star[two], stop[two]
-    )
+    holds[two] = segment_holds(two, start, star, mark)
+    holds[two] &= segment_holds(two, mark + 1, next_star, stop)
     # A sentence alone, whose tag block is empty and holds only by leave.
     bare = plain & (n_marks == 1) & (n_stars == 1) & (mark == start)
     if not require_meta:
-        holds[bare] = segment_holds(mark[bare] + 1, star[bare], stop[bare])
+        holds[bare] = segment_holds(bare, mark + 1, star, stop)
     one = plain & (n_marks == 0) & (n_stars == 1)
-    holds[one] = segment_holds(start[one], star[one], stop[one])
+    holds[one] = segment_holds(one, start, star, stop)
     usual = two | bare | one
-    for row in np.flatnonzero(~usual):
-        text = octets[start[row] : end[row]].tobytes().decode("utf-8", "replace")
+    for row in np.flatnonzero(~usual | longer):
+        text = octets[offsets[row] : offsets[row + 1]].tobytes().decode("utf-8", "replace")
         holds[row] = _text_holds(text, require_meta)
     return holds
 

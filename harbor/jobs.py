@@ -86,6 +86,7 @@ def compare_job(
     keys: Sequence[str],
     tolerances: Mapping[str, float],
     raw: str = "rawInput",
+    by_rank: bool = False,
     **options: object,
 ) -> None:
     """A checked CSV table against what this engine makes of its raw lines.
@@ -95,7 +96,7 @@ def compare_job(
     by ``keys`` is written.
     """
     checked = read_checked(spark, source)
-    write_table(compared(checked, family, names, keys, tolerances, raw, **options), target)
+    write_table(compared(checked, family, names, keys, tolerances, raw, by_rank, **options), target)
 
 
 def compared(
@@ -105,13 +106,14 @@ def compared(
     keys: Sequence[str],
     tolerances: Mapping[str, float],
     raw: str = "rawInput",
+    by_rank: bool = False,
     **options: object,
 ) -> DataFrame:
     """The report of ``compare_job`` for a checked table."""
     messages = ingest.sentences_as_messages(checked, raw)
     decoded = conform.rename_select(DECODERS[family](messages, **options), names)
     wanted = conform.with_absent_as_null(checked).select(*decoded.columns)
-    return conform.compare_by_key(decoded, wanted, keys, tolerances)
+    return conform.compare_by_key(decoded, wanted, keys, tolerances, by_rank=by_rank)
 
 
 def _pairs(text: str, value: Callable[[str], object] = str) -> dict:
@@ -150,6 +152,7 @@ def _parser() -> argparse.ArgumentParser:
     both.add_argument("--keys", required=True, type=lambda t: t.split(","), help="their names")
     both.add_argument("--tolerances", default={}, type=partial(_pairs, value=float))
     both.add_argument("--raw", default="rawInput", help="column of the raw line")
+    both.add_argument("--by-rank", action="store_true", help="pair the rows of repeated keys")
     return parser
 
 
@@ -195,6 +198,7 @@ def main(arguments: Sequence[str] | None = None) -> None:
             given.keys,
             given.tolerances,
             given.raw,
+            given.by_rank,
             **told,
         )
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harbor.operators.ranks import with_rank
+
 # What an independent decoder leaves in place of "not available".
 _ABSENT_EQUAL = {
     "true_heading": 511,
@@ -89,6 +91,7 @@ def compare_by_key(
     keys: Sequence[str],
     tolerances: Mapping[str, float] | None = None,
     tolerance: float = 0.0,
+    by_rank: bool = False,
 ) -> DataFrame:
     """Compare two tables row by row, rows paired by ``keys``.
 
@@ -99,6 +102,11 @@ def compare_by_key(
     side (``(ambiguous)``); the latter are not paired, unless both sides hold
     the same rows under that key, in which case they are equal.
 
+    With ``by_rank`` the rows of a repeated key are paired as well: both sides
+    are put in order, by the values that must be equal and then by those with a
+    tolerance, and the first meets the first.  Rows that one side has more of
+    are counted as that side's only, and none is ambiguous.
+
     Both tables go through one grouping with state of fixed size per key, so a
     key shared by a large share of the rows costs no more than any other.
     """
@@ -106,6 +114,12 @@ def compare_by_key(
     numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
     dtypes = dict(left.dtypes)
     values = [c for c in left.columns if c not in keys]
+    if by_rank:
+        loose = [c for c in values if dtypes[c] in numeric and tolerances.get(c, tolerance) > 0]
+        order = [c for c in values if c not in loose] + loose
+        left = with_rank(left, keys, order, "__rank")
+        right = with_rank(right.select(*left.columns[:-1]), keys, order, "__rank")
+        keys = [*keys, "__rank"]
 
     def tagged(table: DataFrame, is_left: bool) -> DataFrame:
         return table.select(*keys, *values, F.lit(is_left).alias("__left"))

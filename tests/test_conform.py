@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from harbor import jobs
 from harbor.operators import conform as C
 from harbor.operators import ingest
+from harbor.operators.ranks import with_rank
 from harbor.sources.checked_csv import read_checked, write_by_family
 from tests.synth import FAILS, KNOWN_LINES, PASSES, POSITION, frame, line
 
@@ -171,3 +174,43 @@ def test_compare_job(spark, tmp_path):
     )
     got = report(spark.read.parquet(target))
     assert got["(ambiguous)"] == (3, 3)
+
+
+def test_repeated_keys_within_and_beyond_the_tolerance(spark):
+    schema = "k int, name string, x double"
+    left = spark.createDataFrame(
+        [(1, "a", 1.0), (1, "a", 2.0), (1, "b", 5.0), (None, "c", 1.0), (None, "c", None), (2, "d", 1.0)],
+        schema,
+    )
+    right = spark.createDataFrame(
+        [(1, "b", 5.0), (1, "a", 2.0005), (1, "a", 1.5), (None, "c", None), (None, "c", 1.0), (3, "e", 1.0)],
+        schema,
+    )
+    plain = report(C.compare_by_key(left, right, ["k"], {"x": 0.001}))
+    assert plain["(ambiguous)"] == (6, 6)
+    ranked = report(C.compare_by_key(left, right, ["k"], {"x": 0.001}, by_rank=True))
+    assert ranked["(ambiguous)"] == (0, 0)
+    assert ranked["x"] == (5, 1) and ranked["name"] == (5, 0)
+    assert ranked["(left only)"] == ranked["(right only)"] == (1, 1)
+    more = left.union(left.where("k = 2"))
+    assert report(C.compare_by_key(more, left, ["k"], by_rank=True))["(left only)"] == (1, 1)
+
+
+@pytest.mark.parametrize("partitions", ["1", "7"])
+def test_ranks_across_ranges(spark, partitions):
+    """One key holds most of the rows; no window sees all of it."""
+    made = random.Random(3)
+    rows = [(made.choice([None, 1, 1, 1, 1, 2]), made.choice([None, *range(50)]), i) for i in range(900)]
+    table = spark.createDataFrame(rows, "k int, v int, id int")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = with_rank(table, ["k"], ["v", "id"], "n").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    by_key = {}
+    for k, v, i in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2])):
+        by_key.setdefault(k, []).append(i)
+    assert {(r.k, r.n): r.id for r in got} == {
+        (k, n): i for k, ids in by_key.items() for n, i in enumerate(ids, 1)
+    }

@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from harbor.functions import bitstring as B
+from harbor.functions import checksum
 from harbor.functions import payload as P
 from harbor.functions.checksum import _batch_holds, line_holds, xor_checksum
 from harbor.functions.readings import navigation_status, rate_of_turn, to_signed
@@ -141,3 +142,47 @@ def test_text_bits_helper_matches_engine(spark):
     text = "HELLO [WORLD] 42?"
     rows = spark.createDataFrame([(text_bits(text, len(text)),)], "bits string")
     assert values(rows, B.six_bit_text(F.col("bits"))) == [text]
+
+
+def _sum_of(text: str) -> str:
+    total = 0
+    for unit in memoryview(text.encode("utf-16-le")).cast("H"):
+        total ^= unit
+    return f"{total:02X}"
+
+
+def test_sums_of_a_batch_against_one_line_at_a_time():
+    """Characters of one to four bytes, sums of two to four digits, odd forms."""
+    made = random.Random(5)
+
+    def segment():
+        pool = "a1,é漢😀\\ÿā" if made.random() < 0.7 else "ABCxyz,;"
+        text = "".join(made.choice(pool) for _ in range(made.randint(0, 9)))
+        claimed = _sum_of(text.removeprefix("\\").removesuffix("\\"))
+        if made.random() < 0.3:
+            claimed = made.choice([claimed.lower(), claimed + "0", "00", "zz", claimed[:1], ""])
+        star = made.choice(["*", "*", "*", "**", ""])
+        return made.choice(["", "\\"]) + text + star + claimed + made.choice(["", "\\"])
+
+    n_held = 0
+    for _ in range(200):
+        lines = []
+        for _ in range(60):
+            parts = [segment() for _ in range(made.choice([1, 2, 2, 2, 3]))]
+            line = "!".join(parts) + "!" * made.choice([0, 0, 0, 1, 6])
+            lines.append("!" + line if made.random() < 0.1 else line)
+        for require_meta in (True, False):
+            got = checksum._holds(pa.array(lines), require_meta).tolist()
+            assert got == [checksum._text_holds(line, require_meta) for line in lines]
+            n_held += sum(got)
+    assert n_held > 500
+
+
+def test_failed_sums_are_those_of_the_rule():
+    rows = pa.array(["\\a*61\\!b*62", "\\a*61\\!漢*6f22", "\\a*60\\!b*62", "a", "", "!b*62"])
+    told = checksum._batch_sums(rows, True).to_pylist()
+    assert [t["holds"] for t in told] == [True, True, False, False, False, False]
+    assert [tuple(t.values())[1:] for t in told[2:]] == [
+        (0, "60", "61"), (0, None, "61"), (0, None, "00"), (0, None, "00"),
+    ]
+    assert checksum._batch_sums(rows, False).to_pylist()[5]["holds"]
