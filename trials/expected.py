@@ -401,6 +401,40 @@ SELECT '(ambiguous)', coalesce(sum(w.n + 1), 0)::BIGINT, coalesce(sum(w.n + 1),
 FROM w JOIN k USING (number, epoch) WHERE w.n > 1"""
 
 
+def _ranked(name: str, table: str) -> str:
+    order = "mmsi NULLS FIRST, sog NULLS FIRST, y NULLS FIRST"
+    return f"""{name} AS (
+  SELECT epoch // 3600 AS hour, mmsi, sog, y,
+    row_number() OVER (PARTITION BY epoch // 3600 ORDER BY {order}) AS place
+  FROM {table}
+)"""
+
+
+def _ranked_column(column: str, tolerance: str) -> str:
+    return f"""
+SELECT '{column}' AS "column", count(*)::BIGINT AS n_rows,
+  coalesce(sum(CASE WHEN a.{column} IS NULL AND b.{column} IS NULL THEN 0
+    WHEN a.{column} IS NULL OR b.{column} IS NULL THEN 1
+    WHEN abs(a.{column}::DOUBLE - b.{column}::DOUBLE) > {tolerance}::DOUBLE THEN 1
+    ELSE 0 END), 0)::BIGINT AS n_different,
+  round(max(abs(a.{column}::DOUBLE - b.{column}::DOUBLE)), 6) AS max_difference
+FROM a JOIN b USING (hour, place)"""
+
+
+def _ranked_only(label: str, one: str, other: str) -> str:
+    return f"""
+SELECT '({label} only)', count(*)::BIGINT, count(*)::BIGINT, NULL
+FROM {one} WHERE NOT EXISTS (
+  FROM {other} WHERE {other}.hour = {one}.hour AND {other}.place = {one}.place)"""
+
+
+COMPARE_RANKED = f"""WITH {CHECKED}, {_ranked("a", "k")}, {_ranked("b", "m")}
+{_ranked_column("mmsi", "0")} UNION ALL {_ranked_column("sog", "0.001")}
+UNION ALL {_ranked_column("y", "1e-11")}
+UNION ALL {_ranked_only("left", "a", "b")} UNION ALL {_ranked_only("right", "b", "a")}
+UNION ALL SELECT '(ambiguous)', 0::BIGINT, 0::BIGINT, NULL"""
+
+
 def _cycle(absent: str, *values: float) -> str:
     chosen = " ".join(f"WHEN {i} THEN {float(v)}" for i, v in enumerate(values))
     value = f"(CASE event_id % {len(values)} {chosen} END)::DOUBLE"
@@ -541,6 +575,7 @@ FROM s""",
     "rename_select": f"""WITH {EVENTS}, d AS (SELECT {EVENT_READINGS} FROM e)
 SELECT {", ".join(f"{old} AS {new}" for old, new in NEW_NAMES.items())} FROM d""",
     "compare_tables": COMPARE,
+    "compare_ranked": COMPARE_RANKED,
     "conformance_chain": f"""WITH {EVENTS},
 k AS (
   SELECT {D.SPOILT_PASSES} AS kept, event_id % 11 = 0 AND speed_raw <> 1023 AS off,
