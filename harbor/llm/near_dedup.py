@@ -129,21 +129,5 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """One document of each component, the one with the smallest id, all columns.
-
-    Rows with that id more than once come down to the smallest of them, by the
-    other columns in their order.  Rows without an id cannot be named as
-    copies and stay.
-    """
-    found = near_duplicates(docs, size)
-    first = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    others = [c for c in docs.columns if c != "doc_id"]
-    rows = docs.join(first, "doc_id", "left_semi")
-    one = rows.groupBy("doc_id").agg(F.min(F.struct(*others)).alias("__row"))
-    kept = one.select("doc_id", *[F.col("__row")[c].alias(c) for c in others])
-    return kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
-
-
 def as_hex(fp: str = "fp") -> Column:
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")

@@ -8,11 +8,12 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from harbor.llm import decontaminate, near_dedup, pieces, quality, secrets
+from harbor.llm import decontaminate, pieces, quality, secrets
 from harbor.llm.expected import SQL
 from harbor.llm.queries import QUERIES
 from harbor.llm.texts import texts_of
 from tests.llm.frames import ALL_IDS, ROWS, TABLES, documents, ids_of, needs_tables
+from tests.llm.test_near_texts import components_by_hand
 from trials.check import canonical, duck
 
 pytestmark = needs_tables
@@ -20,7 +21,7 @@ pytestmark = needs_tables
 
 def test_one_query_per_operator():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries() and SQL.keys() <= QUERIES.keys()
 
 
@@ -41,6 +42,8 @@ def test_query_runs_over_its_whole_table(spark, name):
     n = frame.count()
     if name.startswith("op1_"):
         assert n > 0
+    elif name.startswith("op11_"):
+        assert n == 32 * spark.read.parquet(f"{TABLES}/embeddings.parquet").count()
     else:
         key = frame.columns[0]
         source = {"page_id": "pages", "doc_id": "documents"}[key]
@@ -51,7 +54,7 @@ def stages_by_hand(spark, docs):
     """The stages' decisions, from the operators' reports rather than their filters."""
     report = {r.doc_id for r in quality.quality_report(docs).where("kept").collect()}
     docs = docs.where(docs.doc_id.isin(*report))
-    first = {r.component_id for r in near_dedup.near_duplicates(docs).collect()}
+    first = set(components_by_hand([(r.doc_id, r.text) for r in docs.collect()]).values())
     docs = docs.where(docs.doc_id.isin(*first))
     bench = spark.read.parquet(f"{TABLES}/benchmark.parquet")
     leaking = {r.doc_id for r in decontaminate.leaks(docs, bench).collect()}
