@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from harbor.llm.storage import stored
 from harbor.llm.texts import Texts, map_texts, mix, slices, texts_of
 
 SHINGLE_WORDS = 5
@@ -165,11 +166,14 @@ def shingle_filter(items: DataFrame) -> np.ndarray:
     return np.unpackbits(words.view(np.uint8), bitorder="little").view(bool)
 
 
+Window = tuple[int, int, int, int, np.ndarray]
+
+
 def _window_rows(
     texts: Texts, held: np.ndarray, sizes: list[int], similarity: float
-) -> Iterator[tuple[int, int, int, int, str, np.ndarray]]:
-    """Text number, first word, item size, fingerprint, words and shingle keys of each
-    window to compare."""
+) -> Iterator[tuple[int, Window]]:
+    """Text number, and of each window to compare first word, length, item size,
+    fingerprint and shingle keys."""
     words = texts.words
     for s in sorted({_shingle_size(n) for n in sizes}):
         all_at, all_values = words.windows(s)
@@ -201,11 +205,52 @@ def _window_rows(
                     for f, fp in zip(first.tolist(), prints.tolist()):
                         own = all_values[begin + f : begin + f + n]
                         keys = _first_shingles(own, n - need + 1)
-                        yield i, f, size, fp, _said(texts, a + f, a + f + length), keys
+                        yield i, (f, length, size, fp, keys)
+
+
+def _stretches(
+    texts: Texts, rows: Iterator[tuple[int, Window]]
+) -> Iterator[tuple[int, int, str, list[Window]]]:
+    """Text number, first word, words and windows of each place where windows overlap.
+
+    The words of a place are spelt out once, however many windows cover them.
+    """
+    by_text: dict[int, list[Window]] = {}
+    for i, window in rows:
+        by_text.setdefault(i, []).append(window)
+    for i, found in by_text.items():
+        found.sort(key=lambda w: w[:4])
+        held: list[Window] = []
+        end = 0
+        for window in [*found, None]:
+            if held and (window is None or window[0] >= end):
+                a = int(texts.words.first[i])
+                yield i, held[0][0], _said(texts, a + held[0][0], a + end), held
+                held = []
+            if window is not None:
+                end = max(end, window[0] + window[1]) if held else window[0] + window[1]
+                held.append(window)
+
+
+_WINDOWS = pa.list_(
+    pa.struct(
+        [
+            ("start", pa.int64()),
+            ("length", pa.int32()),
+            ("size", pa.int32()),
+            ("fp", pa.int64()),
+            ("keys", pa.list_(pa.int64())),
+        ]
+    )
+)
 
 
 def windows(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
-    """``doc_id, start, size, fp, said, keys`` of the windows that could be similar enough."""
+    """The places with windows that could be similar enough, overlapping ones together.
+
+    ``doc_id, begin, said, windows``, each window with ``start, length, size, fp,
+    keys``; ``start`` counts the words of the document, as ``begin`` does.
+    """
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(np.packbits(shingle_filter(items)))
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())
@@ -213,29 +258,39 @@ def windows(docs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("doc_id", id_type),
-            T.StructField("start", T.LongType()),
-            T.StructField("size", T.IntegerType()),
-            T.StructField("fp", T.LongType()),
+            T.StructField("begin", T.LongType()),
             T.StructField("said", T.StringType()),
-            T.StructField("keys", T.ArrayType(T.LongType())),
+            T.StructField(
+                "windows",
+                T.ArrayType(
+                    T.StructType(
+                        [
+                            T.StructField("start", T.LongType()),
+                            T.StructField("length", T.IntegerType()),
+                            T.StructField("size", T.IntegerType()),
+                            T.StructField("fp", T.LongType()),
+                            T.StructField("keys", T.ArrayType(T.LongType())),
+                        ]
+                    )
+                ),
+            ),
         ]
     )
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(held.value).view(bool)
+        names = ("start", "length", "size", "fp", "keys")
         for batch in slices(batches):
             texts = texts_of(batch.column("text")).lower()
-            rows = list(_window_rows(texts, bits, sizes, similarity))
+            rows = list(_stretches(texts, _window_rows(texts, bits, sizes, similarity)))
             if rows:
-                text_of, start, size, fp, said, keys = zip(*rows)
+                text_of, begin, said, found = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(pa.array(text_of)),
-                        pa.array(start, pa.int64()),
-                        pa.array(size, pa.int32()),
-                        pa.array(fp, pa.int64()),
+                        pa.array(begin, pa.int64()),
                         pa.array(said, pa.string()),
-                        pa.array(keys, pa.list_(pa.int64())),
+                        pa.array([[dict(zip(names, w)) for w in ws] for ws in found], _WINDOWS),
                     ],
                     names=schema.names,
                 )
@@ -299,7 +354,10 @@ def leaks(
     are ignored, and an empty table on either side gives an empty result.
     """
     listed = item_table(items, similarity)
-    found = windows(docs, listed, similarity)
+    # Places are told apart by document, first word and words.
+    places = stored(
+        windows(docs, listed, similarity).withColumn("said_hash", F.xxhash64("said")), "windows"
+    )
     index = _listed(
         listed.select("item_id", "size", F.col("fp").alias("item_fp"), "keys"),
         "item_fp",
@@ -309,22 +367,35 @@ def leaks(
         "item_id", "size", F.col("fp").alias("item_fp"), F.col("said").alias("item_said")
     )
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
-    near = (
+    # The keys of a window carry its place, not its words.
+    place = ["doc_id", "begin", "said_hash"]
+    found = places.select(*place, F.inline("windows"))
+    met = (
         _listed(found, "fp", [0])
         # The variants multiply the items, so neither side is small enough to broadcast.
         .join(index.hint("merge"), ["size", "block", "bits"])
         .withColumn("distance", distance.cast("int"))
         .where((F.col("block") == BLOCKS) | (F.col("distance") <= radius))
         # Of the blocks and shingles that two meet in, one is enough.
-        .dropDuplicates(["doc_id", "start", "size", "said", "item_id", "item_fp"])
-        .join(said.hint("merge"), ["item_id", "size", "item_fp"])
-        .withColumn("similarity", _similarities("said", "item_said"))
+        .dropDuplicates([*place, "start", "length", "size", "item_id", "item_fp"])
+    )
+    texts = places.select(
+        *[F.col(c).alias(f"__{c}") for c in place], F.col("said").alias("stretch")
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in place]
+    own = F.slice(
+        F.split("stretch", " "), (F.col("start") - F.col("begin") + 1).cast("int"), F.col("length")
+    )
+    near = (
+        met.join(said.hint("merge"), ["item_id", "size", "item_fp"])
+        .join(texts, same)
+        .withColumn("similarity", _similarities(F.array_join(own, " "), "item_said"))
         .where(F.col("similarity") >= similarity)
     )
     best = F.struct(
         (-F.col("similarity")).alias("order"),
         "start",
-        F.size(F.split("said", " ")).alias("n_words"),
+        F.col("length").alias("n_words"),
         "similarity",
         "distance",
     )
