@@ -203,8 +203,43 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word,
 FROM spoken LEFT JOIN told USING (rid)
 """
 
+# Bytes as two hexadecimal digits each; a slice is 50 of them.
+_REPEATS = r"""
+WITH held AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n
+  FROM documents
+), slices AS (
+  SELECT doc_id, pos, substr(h, 2 * pos + 1, 100) AS said
+  FROM held, unnest(range(0, greatest(n - 49, 0))) AS t(pos)
+), firsts AS (
+  SELECT said, min(doc_id) AS least FROM slices GROUP BY said HAVING count(*) > 1
+), starts AS (
+  SELECT doc_id, pos, pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS gap
+  FROM slices JOIN firsts USING (said) WHERE least < doc_id
+), numbered AS (
+  SELECT doc_id, pos, count(*) FILTER (gap IS NULL OR gap > 50)
+    OVER (PARTITION BY doc_id ORDER BY pos) AS run
+  FROM starts
+), runs AS (
+  SELECT doc_id, min(pos) AS a, max(pos) + 50 AS b FROM numbered GROUP BY doc_id, run
+), ends AS (
+  SELECT doc_id, a, b, true AS removed FROM runs
+  UNION ALL SELECT doc_id, n, n, false FROM held
+), pieces AS (
+  SELECT doc_id, a, b, removed,
+    coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b), 0) AS since
+  FROM ends
+)
+SELECT doc_id, any_value(n)::BIGINT AS n_bytes,
+  coalesce(sum(b - a) FILTER (removed), 0)::BIGINT AS n_removed,
+  count(*) FILTER (removed)::BIGINT AS n_spans,
+  sha256(unhex(string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a, b))) AS kept_sha256
+FROM pieces JOIN held USING (doc_id) GROUP BY doc_id
+"""
+
 SQL: dict[str, str] = {
     "op3_quality_rules": _QUALITY,
+    "op4_repeated_bytes": _REPEATS,
     "op7_chat_format": _TURNS,
     "op9_url_filter": _URLS,
     "op12_filter_audit": _AUDIT,
