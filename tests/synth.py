@@ -41,11 +41,11 @@ def line(
     sequence: object = "",
     channel: str = "A",
     padding: object = 0,
-    port: object = 100,
-    mmsi: object = 1234567,
-    epoch: object = 1459468800,
+    port: object = 5,
+    mmsi: object = 2750009,
+    epoch: object = 1500000200,
 ) -> str:
-    tags = f"s:ASM//Port={port}//MMSI={mmsi},c:{epoch}"
+    tags = f"s:QUAY//Port={port}//MMSI={mmsi},c:{epoch}"
     body = f"AIVDM,{count},{number},{sequence},{channel},{data},{padding}"
     return f"\\{tags}*{xor(tags)}\\!{body}*{xor(body)}"
 

@@ -113,7 +113,7 @@ def test_class_b_position(spark):
     (row,) = by_time(D.drop_working(D.decode_position_b(messages(spark, [payload(*zip(values, widths))]))))
     del row["timestamp"]
     assert row == {
-        "port": 100, "port_mmsi": 1234567, "id": 18, "repeat_indicator": 2, "mmsi": 300000001,
+        "port": 5, "port_mmsi": 2750009, "id": 18, "repeat_indicator": 2, "mmsi": 300000001,
         "speed_over_ground": 5.5, "position_accuracy": 1, "longitude": -1.0, "latitude": 2.0,
         "true_heading": 90, "timestamp_seconds": 30, "cs_unit": 1, "dsc_flag": 1,
         "display_flag": 0, "band_flag": 0, "message_22_flag": 1, "assigned": 0, "raim": 1,
@@ -131,7 +131,7 @@ def test_voyage(spark):
     (row,) = by_time(D.drop_working(D.decode_static_voyage(messages(spark, [VOYAGE]))))
     del row["timestamp"]
     assert row == {
-        "port": 100, "port_mmsi": 1234567, "id": 5, "repeat_indicator": 0, "mmsi": 400000001,
+        "port": 5, "port_mmsi": 2750009, "id": 5, "repeat_indicator": 0, "mmsi": 400000001,
         "ais_version": 1, "imo": 9000001, "call_sign": "CALL  1",
         "ship_name": "SHIP NAME@@@@@@@@@@@", "type_and_cargo": 70, "to_bow": 100,
         "to_stern": 20, "to_port": 10, "to_starboard": 11, "epfd": 1, "eta_month": None,

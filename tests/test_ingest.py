@@ -10,7 +10,7 @@ from tests.synth import KNOWN_LINES, PASSES, frame, line, xor
 
 
 def body_line(body: str) -> str:
-    tags = "s:ASM//Port=1//MMSI=2,c:3"
+    tags = "s:QUAY//Port=1//MMSI=2,c:3"
     return f"\\{tags}*{xor(tags)}\\!{body}*{xor(body)}"
 
 
@@ -21,7 +21,7 @@ def outcomes(spark, lines, rules=I.DEFAULT_RULES):
 CASES = {
     PASSES: "accepted",
     PASSES + "!": "accepted",
-    PASSES.lower().replace("s:asm", "s:ASM"): "checksum",
+    PASSES.lower().replace("s:quay", "s:QUAY"): "checksum",
     PASSES[PASSES.index("!") :]: "checksum",  # no tag block
     "": "checksum",
     "!": "no_sentence",
@@ -83,7 +83,7 @@ def test_parse_known_line(spark):
         "data": "Q8w1",
         "padding": 0,
         "checksum_packet": body[-2:],
-        "s": "ASM",
+        "s": "QUAY",
         "port": 41,
         "port_mmsi": 2190001,
         "checksum_meta": tags[-3:-1],

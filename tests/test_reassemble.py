@@ -22,7 +22,7 @@ KEYS = ("packet_type", "fragment_count", "radio_channel", "padding", "s", "port"
 def sentence(**given):
     row = dict(
         packet_type="AIVDM", fragment_count=2, fragment_n=1, message_id=0, radio_channel="A",
-        data="1", padding=0, s="ASM", port=1, port_mmsi=7, timestamp=None,
+        data="1", padding=0, s="QUAY", port=1, port_mmsi=7, timestamp=None,
     )
     row.update(given)
     return row
@@ -171,7 +171,7 @@ def test_a_million_parts_of_one_message(spark):
     parts = spark.range(1, 1_000_001).selectExpr(
         "'AIVDM' AS packet_type", "2 AS fragment_count", "cast(id AS int) AS fragment_n",
         "1 AS message_id", "'A' AS radio_channel", "cast(id % 7 AS string) AS data",
-        "0 AS padding", "'ASM' AS s", "1 AS port", "7 AS port_mmsi", "timestamp_seconds(5) AS timestamp",
+        "0 AS padding", "'QUAY' AS s", "1 AS port", "7 AS port_mmsi", "timestamp_seconds(5) AS timestamp",
     )
     want = "".join(str(i % 7) for i in range(1, R.MAX_NUMBER + 1))
     for mode in ("gap", "sequence"):
@@ -186,7 +186,7 @@ def test_buckets_do_not_grow_with_their_second(spark, monkeypatch, n):
     rows = spark.range(n).selectExpr(
         "'AIVDM' AS packet_type", "2 AS fragment_count", "cast(1 + id % 2 AS int) AS fragment_n",
         "1 AS message_id", "'A' AS radio_channel", "cast(id AS string) AS data",
-        "0 AS padding", "'ASM' AS s", "1 AS port", "7 AS port_mmsi", "timestamp_seconds(5) AS timestamp",
+        "0 AS padding", "'QUAY' AS s", "1 AS port", "7 AS port_mmsi", "timestamp_seconds(5) AS timestamp",
     )
     usual, large = R._split(rows)
     assert usual.isEmpty()

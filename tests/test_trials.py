@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 
 import pytest
 
@@ -28,3 +29,14 @@ def test_query(spark, name):
 
 def test_entry(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_other_queries_stay_where_the_text_part_cannot_be_imported(monkeypatch):
+    """Not there at all, or there with something missing that it needs."""
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert "pipeline" not in contract.queries()
+    for module in ("harbor.llm.queries", "harbor.llm.expected"):
+        with monkeypatch.context() as inner:
+            inner.setitem(sys.modules, module, None)
+            assert contract.queries().keys() == QUERIES.keys()
+            assert contract.oracle_sql().keys() == SQL.keys()

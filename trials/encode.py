@@ -71,7 +71,7 @@ def text_field(text: Column, n_chars: int) -> tuple[Column, int]:
 
 
 def tag_block(
-    port: Column | int, mmsi: Column | int, epoch: Column | int, station: str = "ASM"
+    port: Column | int, mmsi: Column | int, epoch: Column | int, station: str = "QUAY"
 ) -> Column:
     return F.concat(
         F.lit(f"s:{station}//Port="),

@@ -63,7 +63,7 @@ def summed(expression: str) -> str:
 
 def tag_block(port: str, station: str, epoch: str) -> str:
     return (
-        f"concat('s:ASM//Port=', {port}, '//MMSI=', {station}, ',c:', {epoch})"
+        f"concat('s:QUAY//Port=', {port}, '//MMSI=', {station}, ',c:', {epoch})"
     )
 
 
@@ -303,7 +303,7 @@ d AS (SELECT {REPORT_DETAIL} FROM r WHERE part = 1)"""
 FRAGMENTS = f"""
 f AS (
   SELECT 'AIVDM' AS packet_type, {", ".join(f"{t} AS {n}" for n, t in D.FRAGMENT.items())},
-    'ASM' AS s
+    'QUAY' AS s
   FROM lineitem
 )"""
 MESSAGE_KEYS = """packet_type, fragment_count::INTEGER AS fragment_count, radio_channel,
@@ -328,7 +328,7 @@ GAP = f"{FRAGMENTS},{NUMBERED}"
 HOT = f"""
 f AS (
   SELECT 'AIVDM' AS packet_type, 2 AS fragment_count, 0 AS message_id, 'A' AS radio_channel,
-    0 AS padding, 'ASM' AS s, 1 AS port, 2 AS port_mmsi, 1459468800 AS epoch,
+    0 AS padding, 'QUAY' AS s, 1 AS port, 2 AS port_mmsi, 1500000600 AS epoch,
     {", ".join(f"{text} AS {name}" for name, _, text in D.HOT_FRAGMENT)}
   FROM events
 ),{NUMBERED}"""
@@ -349,7 +349,7 @@ g AS (
 MIXED = f"""
 a AS (
   SELECT 'AIVDM' AS packet_type, {", ".join(f"{t} AS {n}" for n, t in D.MIXED.items())},
-    'ASM' AS s
+    'QUAY' AS s
   FROM lineitem
 ),
 f AS (SELECT * FROM a WHERE fragment_count <> 1),{LINKED}"""
@@ -470,7 +470,7 @@ SELECT 'AIVDM' AS packet_type, 1::INTEGER AS fragment_count, 1::INTEGER AS fragm
   NULL::INTEGER AS message_id, 'A' AS radio_channel, data, 0::INTEGER AS padding,
   CASE event_id % 10 WHEN 8 THEN substr(value, length(value) - 2, 2)
     ELSE right(value, 2) END AS checksum_packet,
-  CASE WHEN bare THEN '' ELSE 'ASM' END AS s,
+  CASE WHEN bare THEN '' ELSE 'QUAY' END AS s,
   CASE WHEN NOT bare THEN {D.EVENT_PORT} END::INTEGER AS port,
   CASE WHEN NOT bare THEN {D.EVENT_STATION} END::INTEGER AS port_mmsi,
   CASE WHEN NOT bare THEN epoch END::BIGINT AS epoch,
@@ -490,7 +490,7 @@ FROM q""",
     "parse_sentence": f"""WITH {EVENT_LINES}
 SELECT 'AIVDM' AS packet_type, 1::INTEGER AS fragment_count, 1::INTEGER AS fragment_n,
   NULL::INTEGER AS message_id, 'A' AS radio_channel, data, 0::INTEGER AS padding,
-  right(value, 2) AS checksum_packet, 'ASM' AS s, ({D.EVENT_PORT})::INTEGER AS port,
+  right(value, 2) AS checksum_packet, 'QUAY' AS s, ({D.EVENT_PORT})::INTEGER AS port,
   ({D.EVENT_STATION})::INTEGER AS port_mmsi, epoch::BIGINT AS epoch,
   substr(value, instr(value, '*') + 1, 2) AS checksum_meta
 FROM l""",
@@ -502,7 +502,7 @@ SELECT {MESSAGE_KEYS}, data, is_complete FROM g""",
     "staged_sequence": _MIXED_MESSAGES,
     "raw_messages": f"""WITH {EVENTS_PACKED}, {GAP}
 SELECT 'AIVDM' AS packet_type, 1::INTEGER AS fragment_count, 'A' AS radio_channel,
-  0::INTEGER AS padding, 'ASM' AS s, ({D.EVENT_PORT})::INTEGER AS port,
+  0::INTEGER AS padding, 'QUAY' AS s, ({D.EVENT_PORT})::INTEGER AS port,
   ({D.EVENT_STATION})::INTEGER AS port_mmsi, epoch::BIGINT AS epoch, data,
   type::INTEGER AS id
 FROM p WHERE {D.SPOILT_PASSES}

@@ -103,7 +103,7 @@ PART_VOYAGE = (
 )
 PART_PORT = "p_partkey % 200"
 PART_STATION = "2320700 + p_partkey % 50"
-PART_EPOCH = "1459468800 + p_partkey"
+PART_EPOCH = "1500000600 + p_partkey"
 # Payload characters kept: 426, 420, 348 and 432 bits.
 PART_CHARS = (
     "CASE p_partkey % 4 WHEN 0 THEN 71 WHEN 1 THEN 70 WHEN 2 THEN 58 ELSE 72 END"
@@ -135,7 +135,7 @@ SUPPLIER_VOYAGE = (
 SUPPLIER_PORT = "s_suppkey % 200"
 SUPPLIER_STATION = "2320700 + s_suppkey % 50"
 # Two ships share each second.
-SUPPLIER_EPOCH = "1459468800 + s_suppkey // 100"
+SUPPLIER_EPOCH = "1500000600 + s_suppkey // 100"
 SUPPLIER_SEQUENCE = "s_suppkey % 10"
 
 # Customers report in two parts; the variant decides how.
@@ -145,7 +145,7 @@ SUPPLIER_SEQUENCE = "s_suppkey % 10"
 CUSTOMER_VARIANT = "c_custkey % 6"
 CUSTOMER_MMSI = "600000000 + c_custkey"
 CUSTOMER_NAME = "upper(c_name)"
-CUSTOMER_EPOCH = "1459468800 + c_custkey"
+CUSTOMER_EPOCH = "1500000600 + c_custkey"
 CUSTOMER_PORT = "c_custkey % 200"
 CUSTOMER_STATION = "2320700 + c_custkey % 50"
 CUSTOMER_DETAIL = (
@@ -170,7 +170,7 @@ FRAGMENT = {
     "padding": "CASE WHEN l_quantity > 45 THEN 2 ELSE 0 END",
     "port": "l_orderkey % 200",
     "port_mmsi": "l_orderkey",
-    "epoch": "1459468800 + l_orderkey % 1000",
+    "epoch": "1500000600 + l_orderkey % 1000",
 }
 
 # The same lines with one-part messages among them, some with long numbers.

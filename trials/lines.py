@@ -206,10 +206,10 @@ def hot_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).alias("message_id"),
         F.lit("A").alias("radio_channel"),
         F.lit(0).alias("padding"),
-        F.lit("ASM").alias("s"),
+        F.lit("QUAY").alias("s"),
         F.lit(1).alias("port"),
         F.lit(2).alias("port_mmsi"),
-        F.timestamp_seconds(F.lit(1459468800)).alias("timestamp"),
+        F.timestamp_seconds(F.lit(1500000600)).alias("timestamp"),
     )
 
 
@@ -224,7 +224,7 @@ def fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
             for name, text in D.FRAGMENT.items()
             if name != "epoch"
         ],
-        F.lit("ASM").alias("s"),
+        F.lit("QUAY").alias("s"),
         F.timestamp_seconds(_expr(D.FRAGMENT["epoch"])).alias("timestamp"),
     )
 
