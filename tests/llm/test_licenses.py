@@ -54,7 +54,7 @@ def example(pattern, made):
     while True:
         shorter = re.sub(
             r"\(\?:([^()]*)\)(\?|\{\d,\d\})?",
-            lambda m: "" if m[2] and made.random() < 0.5 else made.choice(m[1].split("|")),
+            lambda m: "" if m[2] in ("?", "{0,3}", "{0,8}") and made.random() < 0.5 else made.choice(m[1].split("|")),
             pattern,
         )
         if shorter == pattern:
