@@ -67,7 +67,7 @@ class Fit:
 
     @property
     def centre(self) -> np.ndarray:
-        return np.array([s / self.n for s in self.sums])
+        return np.array([s / max(self.n, 1) for s in self.sums])
 
     def whitening(self) -> np.ndarray:
         """Times a centred vector: its whitened coordinates."""
