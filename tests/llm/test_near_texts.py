@@ -132,3 +132,23 @@ def test_one_of_each_stays(spark):
     assert [i for i in ids if i is not None] == sorted(set(want.values()))
     assert ids.count(None) == ALL_IDS.count(None)
     assert near_texts.keep_one(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("paired", [2, 16])
+def test_large_groups_lose_no_link(spark, paired):
+    """Texts alike that are neither smallest nor largest of any band they share."""
+    assert agreement(spark, near_copies(2, 150), paired=paired) == 1
+
+
+def test_the_rest_is_found_in_blocks(spark):
+    """All pairs that are alike, of any two roots, whatever the blocks hold."""
+    rows = near_copies(6, 20)
+    sets = [shingles(t) for _, t in rows]
+    texts = spark.createDataFrame(rows, "node long, text string")
+    apart = spark.createDataFrame([(i, i % 3) for i, _ in rows], "node long, root long")
+    want = {p for p in pairs_by_hand(sets) if p[0] % 3 != p[1] % 3}
+    for block in (1, 7, 1000):
+        early = near_texts._early(apart, texts)
+        got = near_texts._rest(apart, early, block).distinct().collect()
+        assert want <= {(min(p), max(p)) for p in got}
+        assert all(u % 3 != v % 3 for u, v in got)
