@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from harbor.llm import html_text, pieces, quality, secrets, suffix_dedup, toxicity
+from harbor.llm import html_text, pieces, quality, secrets, storage, suffix_dedup, toxicity
 from harbor.llm.texts import texts_of
 from tests.llm.frames import ALL_IDS, LONG, PROSE, ROWS, documents, ids_of
 
@@ -251,6 +251,37 @@ def test_merged_transforms_are_sorted_and_their_intervals_exact():
         assert same == (interval[1:] == interval[:-1]).tolist()
 
 
+def test_equal_pieces_are_settled_by_their_digests(spark, monkeypatch):
+    kept = {}
+
+    def stored(frame, name):
+        kept[name] = storage.stored(frame, name)
+        return kept[name]
+
+    monkeypatch.setattr(suffix_dedup, "stored", stored)
+    monkeypatch.setattr(suffix_dedup, "PART_BYTES", 2000)
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdé ") for _ in range(3000))
+
+    def removed(rows):
+        frame = documents(spark, rows).repartition(16, "doc_id")
+        done = suffix_dedup.remove_repeats(frame).collect()
+        got = Counter(
+            (r.doc_id, r.n_bytes, tuple((s.start, s.end) for s in r.spans), bytes(r.kept))
+            for r in done
+        )
+        assert got == cut_by_hand(rows)
+        return kept["smallest-ids"].collect()
+
+    copies = [(i, text) for i in rng.sample(range(1000), 40)]
+    # Where all pieces of an anchor are equal, none is compared,
+    assert removed(copies) == []
+    # and where they differ, only those by the difference.
+    changed = [(2000, text[:1500] + "#" + text[1500:]), (5, text[:700] + "#" * 60 + text[700:])]
+    runs = sum(len(r["runs"]) for r in removed(copies + changed))
+    assert 0 < runs < 42 * 60
+
+
 def test_no_documents_repeat_nothing(spark):
     assert suffix_dedup.remove_repeats(documents(spark).limit(0)).count() == 0
 
